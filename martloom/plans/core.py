@@ -117,16 +117,17 @@ def build_core(
     config: MartConfig,
     save: Callable[[str, DataFrame], DataFrame],
     only: set[str] | None = None,
+    have: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Write the core tables, parents first, and return them.
 
     `save` writes a table and returns it as read back, so that children join keys that can
-    no longer change. `only` limits the run to some tables and what they need. Tables that
-    do not need each other are written side by side: on a cluster most of them are too
-    small to fill it.
+    no longer change. `only` limits the run to some tables and what they need; tables in
+    `have` are taken as they are. Tables that do not need each other are written side by
+    side: on a cluster most of them are too small to fill it.
     """
-    wanted = _with_ancestors(only) if only is not None else set(NEEDS)
-    tables: dict[str, DataFrame] = {}
+    tables = dict(have or {})
+    wanted = (_with_ancestors(only) if only is not None else set(NEEDS)) - tables.keys()
     with ThreadPoolExecutor(max_workers=max(len(wave) for wave in WAVES)) as pool:
         for wave in WAVES:
             names = [name for name in wave if name in wanted]

@@ -33,10 +33,12 @@ def hadoop_path(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """Create an empty file."""
+def write_marker(spark: SparkSession, path: str) -> None:
+    """Create a file of one line. (Spark passes over empty files.)"""
     system, where = hadoop_path(spark, path)
-    system.create(where, True).close()
+    stream = system.create(where, True)
+    stream.writeBytes("complete\n")
+    stream.close()
 
 
 class Staging:

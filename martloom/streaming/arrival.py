@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Fixed value: the columns of Spark's file listing source.
+_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def refresh_on_arrival(
     spark: SparkSession,
@@ -19,7 +22,7 @@ def refresh_on_arrival(
 
     A refresh replaces all rows by those of one landing. By default each file in the folder
     is a landing. With `marker`, each sub-folder is one, complete once it holds a file of
-    that name: so a landing can be many files, written by many tasks.
+    that name, not empty: so a landing can be many files, written by many tasks.
 
     The stream lists paths and reads no content. Its checkpoint, on a shared folder, keeps
     what was seen; a reload that fails is repeated by the next call.
@@ -27,6 +30,7 @@ def refresh_on_arrival(
     source = f"{landing}/*/{marker}" if marker else landing
     arrivals = (
         spark.readStream.format("binaryFile")
+        .schema(_LISTING)
         .option("maxFilesPerTrigger", 1)
         .load(source)
         .select("path")
