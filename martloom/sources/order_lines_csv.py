@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martloom.schemas import ORDER_LINE_COLUMNS
 
@@ -23,6 +23,16 @@ def _has_record_over_lines(spark: SparkSession, path: str, pattern: str) -> bool
     return not lines.filter(quotes % 2 == 1).isEmpty()
 
 
+def _field(value: Column, multi_line: bool) -> Column:
+    """'' where Spark reads NULL. A line break inside a field reads as \\n, however the file
+    writes it."""
+    text = F.coalesce(value, F.lit(""))
+    if multi_line:
+        for line_break in ("\r\n", "\r"):
+            text = F.replace(text, F.lit(line_break), F.lit("\n"))
+    return text
+
+
 def read_raw_csv(
     spark: SparkSession, path: str, multi_line: bool | None = None, pattern: str = "*"
 ) -> DataFrame:
@@ -56,12 +66,6 @@ def read_raw_csv(
     unknown = [header for header in table.columns if header not in names]
     if unknown:
         raise ValueError(f"the order-line file has an unknown or repeated column: {unknown}")
-    # a line break inside a field reads as \n, however the file writes it
     return table.select(
-        *[
-            F.regexp_replace(F.coalesce(F.col(f"`{header}`"), F.lit("")), "\r\n?", "\n").alias(
-                names[header]
-            )
-            for header in table.columns
-        ]
+        *[_field(F.col(f"`{header}`"), multi_line).alias(names[header]) for header in table.columns]
     )
