@@ -47,7 +47,7 @@ def load_core(
 def publish_mart(warehouse: Warehouse, table: str, rows: DataFrame) -> None:
     """Replace a mart by the result of a core query."""
     warehouse.stage(table, rows)
-    warehouse.publish()
+    warehouse.publish(table)
 
 
 def refresh(
@@ -62,6 +62,7 @@ def refresh(
     one. Nothing is published before the last table is written, so readers see the old
     state or the new one, and a failed load leaves all layers as they were."""
     config = warehouse.config
+    warehouse.discard()
     tables = load_core(warehouse, load_raw(warehouse, path, pattern), verify)
     warehouse.stage("mart_sales_by_year", mart_sales_by_year(tables))
     if category is None:

@@ -53,7 +53,7 @@ class Staging:
         system.deleteOnExit(where)
 
     def save(self, name: str, df: DataFrame) -> DataFrame:
-        """Write once and return the written table."""
-        path = f"{self.root}/{name}"
+        """Write to a folder of its own and return the written table."""
+        path = f"{self.root}/{name}-{uuid.uuid4().hex}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

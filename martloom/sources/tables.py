@@ -77,18 +77,22 @@ class Warehouse:
             return self.stage(name, df)
         return self.staging.save(name, df)
 
-    def publish(self) -> None:
-        """Point every staged table at its new rows, parents before children."""
+    def publish(self, *only: str) -> None:
+        """Point staged tables (all, or some) at their new rows, parents before children."""
         for tables in TABLES.values():
             for table in tables:
-                if table in self._waiting:
+                if table in self._waiting and (not only or table in only):
                     path = self._waiting.pop(table)
                     self.spark.sql(f"ALTER TABLE {self.name_of(table)} SET LOCATION '{path}'")
 
+    def discard(self) -> None:
+        """Forget what is staged; the next load writes over it."""
+        self._waiting.clear()
+
     def write_table(self, table: str, df: DataFrame) -> None:
         """Replace a table: all old rows go, all new rows come, or nothing changes."""
         self.stage(table, df, check_key=table in PRIMARY_KEYS)
-        self.publish()
+        self.publish(table)
 
     def _slot(self, table: str, slot: str) -> str:
         layer = next(name for name, tables in TABLES.items() if table in tables)
