@@ -34,14 +34,14 @@ def typed(value: Column, kind: str, name: str) -> Column:
 def conform(df: DataFrame, table: str, key_type: str = "BIGINT") -> DataFrame:
     """Select the table's columns by name; absent ones are NULL, unknown ones an error."""
     declared = columns_of(table, key_type)
-    unknown = set(df.columns) - {name for name, _ in declared}
+    given = set(df.columns)
+    unknown = given - {name for name, _ in declared}
     if unknown:
         raise ValueError(f"{table} has no column {sorted(unknown)}")
-    return df.select(
-        *[
-            (typed(F.col(name), kind, name) if name in df.columns else F.lit(None).cast(
-                "string" if kind.startswith("VARCHAR") else kind
-            )).alias(name)
-            for name, kind in declared
-        ]
-    )
+
+    def column(name: str, kind: str) -> Column:
+        if name in given:
+            return typed(F.col(name), kind, name).alias(name)
+        return F.lit(None).cast("string" if kind.startswith("VARCHAR") else kind).alias(name)
+
+    return df.select(*[column(name, kind) for name, kind in declared])

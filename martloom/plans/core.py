@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -11,19 +11,9 @@ from martloom.config import MartConfig
 from martloom.plans import dims
 from martloom.plans.fact import fact_sales
 
-# Tables of one wave need only tables of earlier waves.
-WAVES = (
-    ("shipping_grain", "place_grain", "product_grain", "dim_segment"),
-    ("dim_date", "dim_ship_mode", "dim_category", "dim_country", "dim_customer"),
-    ("dim_order", "dim_shipment", "dim_sub_category", "dim_region"),
-    ("dim_product", "dim_state"),
-    ("dim_city",),
-    ("dim_postal_code",),
-    ("fact_sales",),
-)
 GRAINS = ("shipping_grain", "place_grain", "product_grain")
 
-# What each table reads besides core_raw.
+# What each table reads besides core_raw; every table stands after those it reads.
 NEEDS: dict[str, tuple[str, ...]] = {
     "shipping_grain": (),
     "place_grain": (),
@@ -123,14 +113,20 @@ def build_core(
 
     `save` writes a table and returns it as read back, so that children join keys that can
     no longer change. `only` limits the run to some tables and what they need; tables in
-    `have` are taken as they are. Tables that do not need each other are written side by
-    side: on a cluster most of them are too small to fill it.
+    `have` are taken as they are. A table is started when its parents are written, so tables
+    that do not need each other are written side by side: most of them are too small to fill
+    a cluster.
     """
-    tables = dict(have or {})
-    wanted = (_with_ancestors(only) if only is not None else set(NEEDS)) - tables.keys()
-    with ThreadPoolExecutor(max_workers=max(len(wave) for wave in WAVES)) as pool:
-        for wave in WAVES:
-            names = [name for name in wave if name in wanted]
-            made = pool.map(lambda n: save(n, BUILDERS[n](core_raw, tables, config)), names)
-            tables.update(zip(names, list(made)))
-    return tables
+    done = dict(have or {})
+    wanted = (_with_ancestors(only) if only is not None else set(NEEDS)) - done.keys()
+    running: dict[str, Future[DataFrame]] = {}
+
+    def write(name: str) -> DataFrame:
+        parents = {n: running[n].result() if n in running else done[n] for n in NEEDS[name]}
+        return save(name, BUILDERS[name](core_raw, parents, config))
+
+    with ThreadPoolExecutor(max_workers=len(NEEDS)) as pool:
+        for name in NEEDS:
+            if name in wanted:
+                running[name] = pool.submit(write, name)
+    return {**done, **{name: table.result() for name, table in running.items()}}

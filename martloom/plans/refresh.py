@@ -23,7 +23,7 @@ def load_raw(warehouse: Warehouse, path: str, pattern: str = "*") -> DataFrame:
     so their key is checked, on that one column of the written table."""
     text = read_raw_csv(warehouse.spark, path, pattern=pattern)
     dated = raw_dates(raw_typed(text, warehouse.config.key_type))
-    return warehouse.stage("order_lines", dated, check_key=True)
+    return warehouse.stage("order_lines", dated, check_key=True, conformed=True)
 
 
 def load_core(
@@ -34,7 +34,9 @@ def load_core(
     Surrogate keys are unique and foreign keys come from their parents, both by
     construction; `verify` checks every declared key all the same.
     """
-    lines = warehouse.stage("core_raw", core_raw(raw, warehouse.config.segment))
+    lines = warehouse.stage(
+        "core_raw", core_raw(raw, warehouse.config.segment), conformed=True
+    )
     tables = build_core(lines, warehouse.config, warehouse.save)
     core = {name: df for name, df in tables.items() if name not in GRAINS}
     if verify:

@@ -103,19 +103,26 @@ def q_read_raw_csv(spark: SparkSession, folder: str) -> DataFrame:
     return _without_row_id(read_raw_csv(spark, landing))
 
 
+def _landed_text(spark: SparkSession, text: DataFrame) -> DataFrame:
+    """Text columns as a load finds them: written before typing starts."""
+    return Staging(spark).save("text", text)
+
+
 def q_raw_typed(spark: SparkSession, folder: str) -> DataFrame:
-    return _without_row_id(raw_typed(as_text(order_lines(spark, folder))))
+    text = _landed_text(spark, as_text(order_lines(spark, folder)))
+    return _without_row_id(raw_typed(text))
 
 
 def q_raw_dates(spark: SparkSession, folder: str) -> DataFrame:
-    return _without_row_id(raw_dates(raw_typed(as_text(order_lines(spark, folder)))))
+    text = _landed_text(spark, as_text(order_lines(spark, folder)))
+    return _without_row_id(raw_dates(raw_typed(text)))
 
 
 def q_conform(spark: SparkSession, folder: str) -> DataFrame:
     """Text in every column, dates too, brought to the declared types by name."""
     lines = order_lines(spark, folder)
     text = lines.select(*[F.col(c).cast("string").alias(c) for c in reversed(lines.columns)])
-    return _without_row_id(conform(text, "order_lines"))
+    return _without_row_id(conform(_landed_text(spark, text), "order_lines"))
 
 
 def q_core_raw(spark: SparkSession, folder: str) -> DataFrame:

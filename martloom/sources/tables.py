@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from martloom.config import MartConfig
 from martloom.functions.conform import conform, require_ansi
 from martloom.operators.checks import require_primary_key
-from martloom.schemas import PRIMARY_KEYS, TABLES, create_table_sql, struct_of
+from martloom.schemas import PRIMARY_KEYS, TABLES, columns_of, create_table_sql, struct_of
 from martloom.sources.staging import Staging
 
 SLOTS = ("a", "b")
@@ -56,14 +56,19 @@ class Warehouse:
         """The published rows, or any query over them that names the table {table}."""
         return self.spark.sql(query.replace("{table}", self.name_of(table)))
 
-    def stage(self, table: str, df: DataFrame, check_key: bool = False) -> DataFrame:
+    def stage(
+        self, table: str, df: DataFrame, check_key: bool = False, conformed: bool = False
+    ) -> DataFrame:
         """Write rows to the idle folder of a table and return what was written.
 
         Columns are bound by name. Types and lengths, and the primary key if asked for, are
-        enforced here, before any reader sees a row.
+        enforced here, before any reader sees a row. `conformed` rows are known to have them
+        and are only put in column order.
         """
         path = self._slot(table, self._idle_slot(table))
-        conform(df, table, self.config.key_type).write.mode("overwrite").parquet(path)
+        names = [name for name, _ in columns_of(table)]
+        rows = df.select(*names) if conformed else conform(df, table, self.config.key_type)
+        rows.write.mode("overwrite").parquet(path)
         schema = struct_of(table, self.config.key_type)
         written = self.spark.read.schema(schema).parquet(path)
         if check_key:
