@@ -2,7 +2,7 @@
 
 $BENCH_SF_DIR  folder of the test tables   (default /root/testdata/sf0.1)
 $BENCH_CPUS    local threads               (default 8)
-$BENCH_RUNS    timed runs, best one counts (default 2, after one warm-up)
+$BENCH_RUNS    timed runs, best one counts (default 1, after one warm-up)
 
 `build_core` and `refresh_on_arrival` build the whole core layer in every run. The other
 queries read a layer built before, as they would in a warehouse.
@@ -38,7 +38,7 @@ HEADLINE = (
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("martloom-bench")

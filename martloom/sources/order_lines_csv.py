@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+import csv
+import io
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martloom.schemas import ORDER_LINE_COLUMNS
+from martloom.sources.csv_records import (
+    has_open_line,
+    is_strict,
+    split_header,
+    stitched_records,
+)
 
 # A file up to this size is one task anyway.
 SPLIT_BYTES = 128 * 1024 * 1024
@@ -16,13 +25,6 @@ def _has_file_over(spark: SparkSession, path: str, size: int, pattern: str) -> b
     return not files.select("length").filter(F.col("length") > size).isEmpty()
 
 
-def _has_record_over_lines(spark: SparkSession, path: str, pattern: str) -> bool:
-    """A field that goes on in the next line leaves an odd number of quotes in its line."""
-    lines = spark.read.option("pathGlobFilter", pattern).text(path)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not lines.filter(quotes % 2 == 1).isEmpty()
-
-
 def _field(value: Column, multi_line: bool) -> Column:
     """'' where Spark reads NULL. A line break inside a field reads as \\n, however the file
     writes it."""
@@ -33,8 +35,44 @@ def _field(value: Column, multi_line: bool) -> Column:
     return text
 
 
+_DIALECT = {"quote": '"', "escape": '"', "mode": "FAILFAST", "columnPruning": "false"}
+
+
+def _named(table: DataFrame, headers: list[str], multi_line: bool) -> DataFrame:
+    names = {header: name for header, name, _ in ORDER_LINE_COLUMNS}
+    return table.select(
+        *[_field(F.col(f"`{header}`"), multi_line).alias(names[header]) for header in headers]
+    )
+
+
+def _check_headers(headers: list[str]) -> None:
+    known = {header for header, _, _ in ORDER_LINE_COLUMNS}
+    wrong = [h for h in headers if h not in known or headers.count(h) > 1]
+    if wrong:
+        raise ValueError(f"the order-line file has an unknown or repeated column: {wrong}")
+
+
+def _read_stitched(spark: SparkSession, path: str, pattern: str) -> DataFrame | None:
+    """Big files with records over lines; None if only a reader of the whole file can tell
+    where a record ends."""
+    records = stitched_records(spark, path, pattern)
+    if not is_strict(records):
+        return None
+    header, rest = split_header(records)
+    headers = next(csv.reader(io.StringIO(header)))
+    _check_headers(headers)
+    schema = ", ".join(f"`{name}` STRING" for name in headers)
+    # as a generator the parser runs once per record, even for a count of rows
+    fields = rest.select(F.inline(F.array(F.from_csv("record", schema, _DIALECT))))
+    return _named(fields, headers, multi_line=False)
+
+
 def read_raw_csv(
-    spark: SparkSession, path: str, multi_line: bool | None = None, pattern: str = "*"
+    spark: SparkSession,
+    path: str,
+    multi_line: bool | None = None,
+    pattern: str = "*",
+    split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """One file or a folder of files as text columns under our names.
 
@@ -43,29 +81,25 @@ def read_raw_csv(
     fails the read, whichever columns are used, and so does a file of the folder whose
     header differs.
 
-    Spark cannot split a file whose records may span lines, so a big file is read that way
-    only if one does. `multi_line` skips the look at the data. `pattern` narrows the files of
-    a folder by name.
+    Files up to `split_bytes` are read by one task each. Bigger ones are split: at any line
+    if no record spans lines, else where the quotes before a line allow it. `multi_line`
+    says which, without a look at the data: True reads each file as a whole. `pattern`
+    narrows the files of a folder by name.
     """
     if multi_line is None:
-        multi_line = not _has_file_over(
-            spark, path, SPLIT_BYTES, pattern
-        ) or _has_record_over_lines(spark, path, pattern)
+        multi_line = True
+        if _has_file_over(spark, path, split_bytes, pattern):
+            multi_line = has_open_line(spark, path, pattern)
+            stitched = _read_stitched(spark, path, pattern) if multi_line else None
+            if stitched is not None:
+                return stitched
     table = (
-        spark.read.option("header", True)
+        spark.read.options(**_DIALECT)
+        .option("header", True)
         .option("enforceSchema", False)
         .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-        .option("columnPruning", False)
         .option("pathGlobFilter", pattern)
         .csv(path)
     )
-    names = {header: name for header, name, _ in ORDER_LINE_COLUMNS}
-    unknown = [header for header in table.columns if header not in names]
-    if unknown:
-        raise ValueError(f"the order-line file has an unknown or repeated column: {unknown}")
-    return table.select(
-        *[_field(F.col(f"`{header}`"), multi_line).alias(names[header]) for header in table.columns]
-    )
+    _check_headers(table.columns)
+    return _named(table, table.columns, multi_line)

@@ -10,7 +10,6 @@ import pytest
 
 from martloom.plans.raw import raw_dates, raw_typed
 from martloom.schemas import ORDER_LINE_COLUMNS
-from martloom.sources import order_lines_csv
 from martloom.sources.order_lines_csv import read_raw_csv
 
 HEADERS = [header for header, _, _ in ORDER_LINE_COLUMNS]
@@ -164,3 +163,89 @@ def test_folder_with_another_header_order_fails(spark, tmp_path):
     write(tmp_path / "b.csv", [ROW], list(reversed(HEADERS)))
     with pytest.raises(Exception):
         load(spark, str(tmp_path))
+
+
+# big files, read in splits
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Some dozen splits for a file of a few kilobytes."""
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    yield 1000
+    spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+
+
+def many(count, name):
+    return [{**ROW, "Row ID": str(i), "Product Name": name(i)} for i in range(count)]
+
+
+def as_read(spark, path, **options):
+    rows = read_raw_csv(spark, path, **options).collect()
+    return sorted((int(r["row_id"]), r["product_name"], r["city"]) for r in rows)
+
+
+NAMES = {
+    "one line each": lambda i: f"Chair {i}",
+    "some over lines": lambda i: f'Chair\n{i},"x"\n\nend' if i % 3 else f"Chair {i}",
+    "longer than a split": lambda i: "row\n" * 400 + str(i) if i in (3, 4) else f"Chair {i}",
+    "starts with a break": lambda i: f"\n{i}" if i % 2 else f'"{i}"',
+}
+
+
+@pytest.mark.parametrize("case", NAMES)
+def test_big_file_reads_like_a_small_one(spark, tmp_path, small_splits, case):
+    rows = many(40, NAMES[case])
+    path = write(tmp_path / "a.csv", rows)
+    want = sorted((int(r["Row ID"]), r["Product Name"], r["City"]) for r in rows)
+    assert as_read(spark, path, multi_line=True) == want
+    assert as_read(spark, path, split_bytes=small_splits) == want
+
+
+def test_big_file_is_read_by_several_tasks(spark, tmp_path, small_splits):
+    path = write(tmp_path / "a.csv", many(40, NAMES["some over lines"]))
+    table = read_raw_csv(spark, path, split_bytes=small_splits)
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == 1
+    assert not any(name.endswith("a.csv") for name in table.inputFiles())
+
+
+def test_quote_inside_a_plain_field_is_read_whole(spark, tmp_path, small_splits):
+    path = write(tmp_path / "a.csv", many(40, lambda i: f"Chair\n{i}"))
+    text = open(path, newline="").read().replace("Henderson", '3" Henderson')
+    open(path, "w", newline="").write(text)
+    assert as_read(spark, path, split_bytes=small_splits) == [
+        (i, f"Chair\n{i}", '3" Henderson') for i in range(40)
+    ]
+
+
+@pytest.mark.parametrize("use", ["all", "one", "count"])
+def test_ragged_record_of_a_big_file_fails(spark, tmp_path, small_splits, use):
+    path = write(tmp_path / "a.csv", many(40, lambda i: f"Chair\n{i}"))
+    with open(path, "a") as out:
+        out.write("41,short\n")
+    table = read_raw_csv(spark, path, split_bytes=small_splits)
+    with pytest.raises(Exception, match="MALFORMED"):
+        if use == "all":
+            table.collect()
+        elif use == "one":
+            table.select("city").collect()
+        else:
+            table.count()
+
+
+def test_quote_that_is_never_closed_fails(spark, tmp_path, small_splits, monkeypatch):
+    monkeypatch.setattr("martloom.sources.csv_records.FIELD_LIMIT", 100)
+    path = write(tmp_path / "a.csv", many(40, lambda i: f"Chair\n{i}"))
+    with open(path, "a") as out:
+        out.write('41,"open\n' + "line\n" * 1000)
+    with pytest.raises(ValueError, match="longer than 100"):
+        read_raw_csv(spark, path, split_bytes=small_splits)
+
+
+def test_big_files_with_different_headers_fail(spark, tmp_path, small_splits):
+    write(tmp_path / "a.csv", many(40, lambda i: f"Chair\n{i}"))
+    write(tmp_path / "b.csv", [ROW], list(reversed(HEADERS)))
+    with pytest.raises(ValueError, match="header"):
+        read_raw_csv(spark, str(tmp_path), split_bytes=small_splits)
