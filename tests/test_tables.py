@@ -114,6 +114,23 @@ def test_shared_folder_is_the_session_setting(spark):
     assert Staging(spark).root != Staging(spark).root
 
 
+class _Session:
+    """What shared_folder asks a session for."""
+
+    def __init__(self, master, settings):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
+        self.conf = type("Conf", (), {"get": staticmethod(settings.get)})
+
+
+def test_shared_folder_without_a_setting():
+    setting = {"spark.checkpoint.dir": "hdfs:///shared/"}
+    assert shared_folder(_Session("yarn", setting)) == "hdfs:///shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("yarn", {}))
+    local = shared_folder(_Session("local[2]", {}))
+    assert local == shared_folder(_Session("local[2]", {}))
+
+
 def test_refresh_then_failed_refresh(warehouse, tmp_path):
     rows = [
         {**ROW, "Row ID": "1"},
