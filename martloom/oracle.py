@@ -208,7 +208,7 @@ def oracle_sql() -> dict[str, str]:
             for name, how in _DIMENSIONS.items()
         },
         "product_price": _select(
-            f"product_id, product_name, {_cents('price_cents', 'DECIMAL(38,2)')} AS price", "price"
+            f"product_id, product_name, {_cents('price_cents', 'DECIMAL(13,2)')} AS price", "price"
         ),
         "surrogate_key": _select(
             "count(DISTINCT order_id) AS row_count, count(DISTINCT order_id) AS key_count, "

@@ -40,7 +40,7 @@ def product_grain(core_raw: DataFrame) -> DataFrame:
 def product_price(products: DataFrame) -> DataFrame:
     """Mean list price of a product id and name over all its lines."""
     return products.groupBy("product_id", "product_name").agg(
-        mean_price(F.sum("price_sum"), F.sum("price_count")).alias("price")
+        mean_price(F.sum("price_sum"), F.sum("price_count")).cast("decimal(13,2)").alias("price")
     )
 
 
