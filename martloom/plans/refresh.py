@@ -61,8 +61,8 @@ def refresh(
     verify: bool = False,
 ) -> None:
     """Reload everything from a file. Without a category the second mart takes a random
-    one. Nothing is published before the last table is written, so readers see the old
-    state or the new one, and a failed load leaves all layers as they were."""
+    one. Nothing is published before the last table is written, so a failed load leaves all
+    layers as they were. Tables are then published one by one, within a moment."""
     config = warehouse.config
     warehouse.discard()
     tables = load_core(warehouse, load_raw(warehouse, path, pattern), verify)
