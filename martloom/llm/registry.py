@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martloom.llm import simhash
+from martloom.llm import quality, simhash
 from martloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,8 +22,19 @@ def op4_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document."""
+    documents = read_table(spark, sf_dir, "documents")
+    rules = quality.fit(documents, read_table(spark, sf_dir, "labels"))
+    return quality.judged(documents.select("doc_id", "text"), rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "rule",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op4_simhash_variants": op4_simhash_variants,
+    "op5_quality_list": op5_quality_list,
 }
 
 ORACLE_SQL: dict[str, str] = {}
