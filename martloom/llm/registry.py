@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martloom.llm import quality, simhash
+from martloom.llm import line_dedup, quality, simhash
 from martloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,9 +32,16 @@ def op5_quality_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that an earlier equal or nearly equal line makes superfluous, per document."""
+    report = line_dedup.line_report(read_table(spark, sf_dir, "documents"))
+    return report.select("doc_id", "n_lines", "n_dropped", "dropped_lines")
+
+
 QUERIES: dict[str, Query] = {
     "op4_simhash_variants": op4_simhash_variants,
     "op5_quality_list": op5_quality_list,
+    "op9_line_dedup": op9_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
