@@ -6,9 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martloom.llm import line_dedup, quality, simhash
+from martloom.llm import bpe, line_dedup, quality, simhash
 from martloom.llm.common import read_table
 
+VOCABULARY = "word_bpe_49k.json"
+
+
+def vocabulary_path() -> str:
+    """Where the installed package of public tokenizers keeps its file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(VOCABULARY))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -38,10 +48,19 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", "n_lines", "n_dropped", "dropped_lines")
 
 
+def op10_bpe_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text they decode to, as hashes."""
+    documents = read_table(spark, sf_dir, "documents")
+    return bpe.encoded(documents, vocabulary_path(), decode=True, keep_ids=False).select(
+        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op4_simhash_variants": op4_simhash_variants,
     "op5_quality_list": op5_quality_list,
     "op9_line_dedup": op9_line_dedup,
+    "op10_bpe_backtracking": op10_bpe_backtracking,
 }
 
 ORACLE_SQL: dict[str, str] = {}
