@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martloom.llm import bpe, line_dedup, quality, simhash
+from martloom.llm import bpe, decontamination, line_dedup, quality, simhash
 from martloom.llm.common import read_table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -56,11 +56,59 @@ def op10_bpe_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontamination_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontamination.contamination(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op2_decontamination_index": op2_decontamination_index,
     "op4_simhash_variants": op4_simhash_variants,
     "op5_quality_list": op5_quality_list,
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe_backtracking": op10_bpe_backtracking,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"""list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination_index": f"""
+        WITH item_words AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        windows AS (
+            SELECT item_id, s AS at, array_to_string(w[s + 1 : s + 10], ' ') AS phrase,
+                   least(len(w), 10) AS size
+            FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 9, 1))) AS s
+                  FROM item_words WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT size FROM windows),
+        doc_words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        places AS (
+            SELECT doc_id, size, s, array_to_string(w[s + 1 : s + size], ' ') AS phrase
+            FROM (SELECT doc_id, w, size, unnest(range(len(w) - size + 1)) AS s
+                  FROM doc_words, sizes WHERE len(w) >= size)),
+        found AS (SELECT doc_id, item_id, s, p.size FROM places p
+                  JOIN windows USING (phrase) WHERE windows.size = p.size),
+        hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+                FROM (SELECT doc_id, unnest(range(s, s + size)) AS pos FROM found) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items,
+                         string_agg(item, ',' ORDER BY item) AS listed
+                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found)
+                  GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+               CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+               sha256(coalesce(listed, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
