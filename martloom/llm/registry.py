@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martloom.llm import bpe, decontamination, line_dedup, quality, simhash
+from martloom.llm import bpe, decontamination, line_dedup, quality, simhash, toxicity
 from martloom.llm.common import read_table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -56,6 +56,13 @@ def op10_bpe_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity(
+        spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+
+
 def op2_decontamination_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontamination.contamination(
@@ -72,6 +79,7 @@ def op2_decontamination_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity_grammar": op1_toxicity_grammar,
     "op2_decontamination_index": op2_decontamination_index,
     "op4_simhash_variants": op4_simhash_variants,
     "op5_quality_list": op5_quality_list,
