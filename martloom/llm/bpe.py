@@ -30,9 +30,9 @@ REMEMBERED = 400_000
 LONGEST_REMEMBERED = 64
 
 # Chunks of these characters are normalised and cut here; all others by the library's parts.
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 # Fixed value: the tokenizer's pieces, for lower-case text of those characters.
-_PIECE = re.compile(
+PIECE = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]"
     r"|[^\sa-zß-öø-ÿ0-9]+"
 )
@@ -147,7 +147,7 @@ class Encoder:
             self.automaton.add_word(vocabulary.spelt[number], number)
         self.automaton.make_automaton()
         self.compatible: dict[tuple[int, int], bool] = {}
-        self.remembered = _Chunks(self.encode_chunk)
+        self.remembered = Chunks(self.encode_chunk)
 
     def fits(self, left: int, right: int) -> bool:
         known = self.compatible.get((left, right))
@@ -188,8 +188,8 @@ class Encoder:
 
     def _pieces(self, text: str) -> list[str]:
         """Pieces of a text without special tokens, as byte characters."""
-        if _PLAIN.fullmatch(text):
-            found = _PIECE.findall(text.lower())
+        if PLAIN.fullmatch(text):
+            found = PIECE.findall(text.lower())
             return found if text.isascii() else [p.encode().decode("latin-1") for p in found]
         parts = self._parts
         as_byte = self._as_byte
@@ -244,7 +244,7 @@ class Encoder:
         return table[from_where][:-1].tobytes()
 
 
-class _Chunks(dict):
+class Chunks(dict):
     """Remembers what chunks became."""
 
     def __init__(self, encode) -> None:

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martloom.llm import bpe, decontamination, line_dedup, quality, simhash, toxicity
-from martloom.llm.common import read_table
+from martloom.llm import bpe, decontamination, line_dedup, quality, repair, simhash, toxicity
+from martloom.llm.common import read_table, staging
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -48,6 +48,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", "n_lines", "n_dropped", "dropped_lines")
 
 
+def op6_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to compressed shards and read back from them."""
+    path = f"{staging(spark).root}/shards"
+    repair.write_shards(read_table(spark, sf_dir, "documents"), vocabulary_path(), path)
+    return repair.read_documents(spark, path)
+
+
 def op10_bpe_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text they decode to, as hashes."""
     documents = read_table(spark, sf_dir, "documents")
@@ -83,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination_index": op2_decontamination_index,
     "op4_simhash_variants": op4_simhash_variants,
     "op5_quality_list": op5_quality_list,
+    "op6_repair_shards": op6_repair_shards,
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe_backtracking": op10_bpe_backtracking,
 }
