@@ -28,16 +28,8 @@ def text_key(text: Column) -> Column:
 
 
 def split_words(text: Column) -> Column:
-    """Words `[^\\x20\\x09-\\x0D]+` as an array; no words for null or blank text.
-
-    The text is trimmed of the same characters first, so only the first element of a text
-    without words can be empty.
-    """
-    blank = " \t\n\x0b\f\r"
-    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(blank))
-    return F.when(F.length(trimmed) == 0, F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, f"[{ASCII_SPACE}]+")
-    )
+    """Words `[^\\x20\\x09-\\x0D]+` as an array; no words for null or blank text."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{ASCII_SPACE}]+"), "")
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:

@@ -27,8 +27,6 @@ SUM_BITS = 42
 # Most numbers in the broadcast set that thins out documents before a join.
 BUCKETS = 1 << 18
 
-_PLACE = ("late", "doc_id", "text_key", "line_no")
-
 
 def _order() -> Column:
     """Sorts lines; ids come first, rows without one last."""
@@ -40,17 +38,14 @@ def _key(words: Column, seed: str) -> Column:
 
 
 def _split_lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, text_key, line_no, line_words) of every line, one row at least per document."""
+    """(doc_id, text_key, line_no, line, line_words) of every line, one row at least per
+    document."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = documents.select(
-        "doc_id", text_key(F.col("text")).alias("text_key"), F.posexplode(F.split(text, "\n"))
-    )
-    return lines.select(
-        "doc_id",
-        "text_key",
-        F.col("pos").alias("line_no"),
-        split_words(F.col("col")).alias("line_words"),
-    )
+        "doc_id", text_key(F.col("text")).alias("text_key"),
+        F.posexplode(F.split(text, "\n")).alias("line_no", "line"),
+    )
+    return lines.select("*", split_words(F.col("line")).alias("line_words"))
 
 
 def _halves() -> Column:
@@ -83,21 +78,20 @@ def _variants(words: DataFrame) -> DataFrame:
 
     line = Window.partitionBy("key", "check").orderBy("at")
     before = line.rowsBetween(Window.unboundedPreceding, -1)
-    after = line.rowsBetween(1, Window.unboundedFollowing)
-    zero = F.lit(0)
+    until = line.rowsBetween(Window.unboundedPreceding, 0)
+    all_words = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     names = ("v", "w")
     for name in names:
         one = one.withColumn(f"_{name}", part(name, F.col("at")))
         one = one.withColumn(f"_{name}1", part(name, F.col("at") - 1))
     sums = [
         (
-            F.coalesce(F.sum(f"_{name}").over(before), zero)
-            + F.coalesce(F.sum(f"_{name}1").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), zero)
-            - F.coalesce(F.sum(f"_{name}1").over(line.rowsBetween(Window.unboundedPreceding, 0)), zero)
+            F.coalesce(F.sum(f"_{name}").over(before), F.lit(0))
+            + F.sum(f"_{name}1").over(all_words)
+            - F.sum(f"_{name}1").over(until)
         ).alias(name)
         for name in names
     ]
-    del after
     out = one.select("key", "check", "first", "n", "at", *sums)
     whole = one.groupBy("key", "check").agg(
         F.first("first").alias("first"), F.first("n").alias("n"), F.lit(-1).alias("at"),
@@ -115,13 +109,14 @@ def dropped_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     an earlier line makes superfluous. Lines without a word are never dropped; a document
     without lines has one such line. Other columns are not looked at."""
     store = staging(documents.sparkSession)
-    split = _split_lines(documents)
+    n = F.size("line_words")
     lines = store.save(
         "lines",
-        split.select(
-            "doc_id", "text_key", "line_no", F.size("line_words").alias("n_words"),
+        _split_lines(documents).select(
+            "doc_id", "text_key", "line_no", n.alias("n_words"),
             _key(F.col("line_words"), "line").alias("key"),
             F.hash("line_words").alias("check"), _halves().alias("halves"),
+            F.when(n >= NEAR_WORDS, F.col("line")).alias("line"),
         ),
     )
     distinct = store.save(
@@ -148,29 +143,20 @@ def dropped_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         "likely", halves.join(shared, "half", "left_semi").select("key", "check").distinct()
     )
 
-    # their words, read where each line stands first; the set of buckets is at most BUCKETS numbers
+    # their words, from where each line stands first; the set of buckets is at most BUCKETS
+    # numbers and only thins out what is shuffled
     firsts = store.save(
         "firsts", distinct.select("key", "check", "first").join(likely, ["key", "check"], "left_semi")
     )
     buckets = firsts.select(_bucket().alias("bucket")).distinct()
-    here = split.select("*", _key(F.col("line_words"), "line").alias("key"), _order().alias("here"))
-    here = here.select("*", _bucket().alias("bucket")).join(
-        F.broadcast(buckets), "bucket", "left_semi"
-    )
-    where = firsts.select(
-        "key", "check", "first", *[F.col(f"first.{p}").alias(f"_{p}") for p in _PLACE]
-    )
+    here = lines.filter(F.col("n_words") >= NEAR_WORDS).withColumn("bucket", _bucket())
+    here = here.join(F.broadcast(buckets), "bucket", "left_semi")
     words = store.save(
         "words",
-        here.join(where, "key")
-        .filter(
-            F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-            & (F.col("text_key") == F.col("_text_key"))
-            & (F.col("line_no") == F.col("_line_no"))
-            & (F.hash("line_words") == F.col("check"))
-        )
-        .select("key", "check", "first", "line_words")
-        .dropDuplicates(["key", "check"]),
+        here.select("key", "check", _order().alias("first"), "line")
+        .join(firsts, ["key", "check", "first"], "left_semi")
+        .dropDuplicates(["key", "check"])
+        .select("key", "check", "first", split_words(F.col("line")).alias("line_words")),
     )
 
     variants = store.save("variants", _variants(words))
@@ -230,14 +216,21 @@ def line_report(documents: DataFrame) -> DataFrame:
     word do not count. Repeated rows count once."""
     lines, gone = dropped_lines(documents)
     key = ["doc_id", "text_key"]
-    place = lines.select(*key, "line_no", "n_words", F.lit(False).alias("gone"))
-    place = place.unionByName(gone.select(*key, "line_no", "n_words", F.lit(True).alias("gone")))
-    numbers = F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("line_no"))))
-    words = F.when(F.col("n_words") > 0, F.col("line_no"))
-    return place.groupBy(key).agg(
-        F.size(F.collect_set(F.when(~F.col("gone"), words))).cast("long").alias("n_lines"),
-        F.size(F.collect_set(F.when(F.col("gone"), words))).cast("long").alias("n_dropped"),
-        F.array_join(F.transform(numbers, lambda n: n.cast("string")), ",").alias("dropped_lines"),
+    # a row that is repeated has each line as often as line 0
+    rows = F.sum((F.col("line_no") == 0).cast("long"))
+    counted = lines.groupBy(key).agg(
+        (F.sum((F.col("n_words") > 0).cast("long")) / rows).cast("long").alias("n_lines")
+    )
+    numbers = F.transform(F.array_sort(F.collect_list("line_no")), lambda n: n.cast("string"))
+    dropped = gone.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
+        F.count(F.lit(1)).alias("n_dropped"), F.array_join(numbers, ",").alias("dropped_lines")
+    )
+    same = counted["doc_id"].eqNullSafe(dropped["_id"]) & (counted["text_key"] == dropped["_key"])
+    return counted.join(dropped, same, "left").select(
+        *key,
+        "n_lines",
+        F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce("dropped_lines", F.lit("")).alias("dropped_lines"),
     )
 
 
