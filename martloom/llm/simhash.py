@@ -30,6 +30,8 @@ BITS = 64
 SEED = 42
 # Keys with more different fingerprints than this are linked by common neighbours.
 PAIRED_KEY = 32
+# Most numbers in the broadcast set that thins out keys before a join.
+BUCKETS = 1 << 20
 # Shingles whose bits are counted at a time.
 BLOCK = 1 << 16
 
@@ -116,6 +118,9 @@ def links(store: Staging, fps: DataFrame, distance: int) -> DataFrame:
     if distance not in (2, 3):
         raise ValueError("distances of 2 and 3 bits are supported")
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance
+    # the table is small, its keys are many: spread it before they are made
+    spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fps = fps.repartition(spread, "fp")
     keyed = fps.select("fp", F.explode(_variants(F.col("fp"), distance)).alias("key")).select(
         "fp", "key.n", "key.v"
     )
@@ -123,9 +128,13 @@ def links(store: Staging, fps: DataFrame, distance: int) -> DataFrame:
         F.count(F.lit(1)).alias("size"), F.min("fp").alias("u"), F.max("fp").alias("w")
     )
     groups = store.save("keys", groups.filter(F.col("size") > 1))
+    bucket = F.pmod(F.xxhash64("n", "v"), F.lit(BUCKETS))
     twos = groups.filter(F.col("size") == 2).select("u", F.col("w").alias("v"))
     more = groups.filter(F.col("size") > 2).select("n", "v", "size")
-    members = store.save("members", keyed.join(more, ["n", "v"]))
+    # the broadcast set is at most BUCKETS numbers; it only thins out what is shuffled
+    wanted = more.select(bucket.alias("bucket")).distinct()
+    hopeful = keyed.withColumn("bucket", bucket).join(F.broadcast(wanted), "bucket", "left_semi")
+    members = store.save("members", hopeful.drop("bucket").join(more, ["n", "v"]))
     few = members.filter(F.col("size") <= PAIRED_KEY)
     paired = (
         few.join(few.select("n", "v", F.col("fp").alias("other")), ["n", "v"])
