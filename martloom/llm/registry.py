@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martloom.llm import bpe, decontamination, line_dedup, quality, repair, simhash, toxicity
+from martloom.llm import (
+    bpe,
+    decontamination,
+    line_dedup,
+    quality,
+    repair,
+    secret_scan,
+    simhash,
+    toxicity,
+)
 from martloom.llm.common import read_table, staging
 
 VOCABULARY = "word_bpe_49k.json"
@@ -22,6 +31,27 @@ def vocabulary_path() -> str:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts of the patterns' matches, and all spans."""
+    found = secret_scan.scan(read_table(spark, sf_dir, "documents"))
+
+    def joined(spans: str):
+        texts = F.transform(
+            spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+        )
+        return F.array_join(texts, ",")
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in secret_scan.BASE_KINDS],
+        F.sha2(joined("base"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
+
+
 def op4_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     rows = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -88,6 +118,7 @@ def op2_decontamination_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_toxicity_grammar": op1_toxicity_grammar,
     "op2_decontamination_index": op2_decontamination_index,
+    "op3_secret_battery": op3_secret_battery,
     "op4_simhash_variants": op4_simhash_variants,
     "op5_quality_list": op5_quality_list,
     "op6_repair_shards": op6_repair_shards,
