@@ -6,27 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from martloom.llm import (
     bpe,
     decontamination,
+    fixity,
     line_dedup,
     quality,
     repair,
     secret_scan,
     simhash,
     toxicity,
+    url_filter,
 )
-from martloom.llm.common import read_table, staging
-
-VOCABULARY = "word_bpe_49k.json"
-
-
-def vocabulary_path() -> str:
-    """Where the installed package of public tokenizers keeps its file."""
-    import public_tokenizers
-
-    return str(public_tokenizers.path(VOCABULARY))
-
+from martloom.llm.common import read_table, staging, vocabulary_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +65,50 @@ def op5_quality_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two replicas of all pages as WARC files, one of them damaged by a rule; the places where
+    the audit finds that they differ, and their pages."""
+    store = staging(spark)
+    rule = F.pmod(F.octet_length(F.coalesce("html", F.lit(""))) + F.col("page_id"), F.lit(97))
+    damaged = (
+        F.when(rule == 0, F.concat(F.lit("#"), F.substring("html", 2, 1 << 30)))
+        .when(rule == 2, F.substring("html", 1, F.floor(F.length("html") / 2).cast("int")))
+        .otherwise(F.col("html"))
+    )
+    body = fixity.warc_record(F.col("page_id"), F.col("url"), damaged)
+    pages = read_table(spark, sf_dir, "pages")
+    more = [F.sha2(body, 256).alias("damaged"), F.coalesce(rule, F.lit(-1)).alias("rule")]
+    records = store.save("records", fixity.archive(pages, more))
+    original = records.filter(F.col("rule") != 3).select("file", "offset", "digest")
+    replica = records.filter(F.col("rule") != 1).select("file", "offset", F.col("damaged").alias("digest"))
+    found = fixity.audit(original, replica).select("file", "offset", "kind")
+    return found.join(records, ["file", "offset"]).select("page_id", "file", "offset", "length", "kind")
+
+
+def op8_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by lists that change. The tables have no dates, so days follow from
+    ids and names by rule; hosts and first path parts of the pages themselves are listed."""
+    pages = read_table(spark, sf_dir, "pages")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id") * 37, F.lit(366)).cast("int"))
+    captures = pages.select("page_id", "url", day.alias("day"))
+    host = url_filter.host_of(F.col("url"))
+    part = F.regexp_extract("url", r"^[^:]*://[^/?#]*/([^/?#]+)", 1)
+    keys = (
+        pages.select(F.explode(F.array(host, F.when(part != "", F.concat(host, F.lit("/"), part)))).alias("key"))
+        .filter(F.col("key").isNotNull() & (F.col("key") != ""))
+        .distinct()
+    )
+    size = F.length("key")
+
+    def entry(action: str, category: str, step: int, wide: int):
+        when = F.date_add(F.lit("2024-01-01").cast("date"), (size * step) % wide)
+        return F.struct(F.lit(action).alias("action"), F.lit(category).alias("category"), when.alias("day"))
+
+    listed = [entry("add", "spam", 13, 120), entry("remove", "spam", 29, 366), entry("add", "adult", 7, 300)]
+    entries = keys.select("key", F.explode(F.array(*listed)).alias("e")).select("key", "e.*")
+    return url_filter.judged(captures, entries)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that an earlier equal or nearly equal line makes superfluous, per document."""
     report = line_dedup.line_report(read_table(spark, sf_dir, "documents"))
@@ -122,8 +159,11 @@ QUERIES: dict[str, Query] = {
     "op4_simhash_variants": op4_simhash_variants,
     "op5_quality_list": op5_quality_list,
     "op6_repair_shards": op6_repair_shards,
+    "op7_fixity_audit": op7_fixity_audit,
+    "op8_url_lists": op8_url_lists,
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe_backtracking": op10_bpe_backtracking,
+    "pipeline": corpus_pipeline.run,
 }
 
 _WORDS = r"""list_filter(string_split_regex(
@@ -158,4 +198,54 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(listed, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op7_fixity_audit": """
+        WITH made AS (
+            SELECT page_id, CAST(floor(page_id / 1000) AS BIGINT) AS file, html,
+                   (strlen(html) + page_id) % 97 AS rule,
+                   strlen('WARC/1.0' || 'WARC-Type: response' || 'WARC-Record-ID: <urn:page:'
+                          || page_id || '>' || 'WARC-Target-URI: ' || url || 'Content-Length: '
+                          || strlen(html) || html) + 16 AS length
+            FROM pages),
+        placed AS (
+            SELECT *, coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+            FROM made)
+        SELECT page_id, file, CAST(place AS BIGINT) AS "offset", CAST(length AS BIGINT) AS length,
+               CASE rule WHEN 1 THEN 'missing' WHEN 3 THEN 'extra' ELSE 'changed' END AS kind
+        FROM placed
+        WHERE rule IN (1, 3) OR (rule = 0 AND substr(html, 1, 1) <> '#')
+           OR (rule = 2 AND length(html) > 0)""",
+    "op8_url_lists": r"""
+        WITH seen AS (
+            SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 37) % 366 AS INT) AS day,
+                   lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS host,
+                   regexp_extract(url, '^[^:]*://[^/?#]*/([^?#]*)', 1) AS path
+            FROM pages),
+        keys AS (
+            SELECT DISTINCT key FROM (
+                SELECT host AS key FROM seen
+                UNION ALL SELECT host || '/' || split_part(path, '/', 1) FROM seen
+                WHERE split_part(path, '/', 1) <> '') WHERE key <> ''),
+        held AS (
+            SELECT key, 'spam' AS category, DATE '2024-01-01' + CAST((length(key) * 13) % 120 AS INT) AS since,
+                   CASE WHEN (length(key) * 29) % 366 >= (length(key) * 13) % 120
+                        THEN DATE '2024-01-01' + CAST((length(key) * 29) % 366 AS INT) - 1 END AS until
+            FROM keys
+            UNION ALL
+            SELECT key, 'adult', DATE '2024-01-01' + CAST((length(key) * 7) % 300 AS INT), NULL FROM keys),
+        asked AS (
+            SELECT page_id, url, day, unnest(list_distinct(list_concat(
+                list_transform(range(1, greatest(len(string_split(host, '.')), 2)),
+                               lambda i: array_to_string(string_split(host, '.')[i:], '.')),
+                list_transform(range(1, len(parts) + 1),
+                               lambda i: host || '/' || array_to_string(parts[1:i], '/'))))) AS key
+            FROM (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS parts FROM seen)),
+        met AS (
+            SELECT page_id, key, category, since,
+                   row_number() OVER (PARTITION BY page_id
+                       ORDER BY length(key) DESC, since DESC, key DESC, category) AS place
+            FROM asked JOIN held USING (key)
+            WHERE day >= since AND (until IS NULL OR day <= until))
+        SELECT seen.page_id, seen.url, seen.day, key, category, since
+        FROM seen LEFT JOIN met ON met.page_id = seen.page_id AND place = 1""",
 }
