@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -25,6 +26,7 @@ HEADLINE = (
     "product_price",
     "surrogate_key",
     "build_core",
+    "fact_sales_build",
     "fact_sales",
     "fact_sales_shared_all",
     "mart_sales_by_year",
@@ -46,6 +48,7 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="martloom-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

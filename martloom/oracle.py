@@ -176,6 +176,25 @@ _COUNTED = {
 }
 
 
+def _broken_report() -> str:
+    """Each constraint with its violations, found with natural keys."""
+    broken = {
+        "dim_ship_mode primary key": "count(DISTINCT ship_mode) FROM core",
+        "dim_sub_category.category_id in dim_category":
+            f"count(DISTINCT category) FROM core WHERE category = '{CATEGORY}'",
+        "fact_sales.customer_id in dim_customer":
+            "count(DISTINCT customer_id) FROM core WHERE customer_id LIKE '%7'",
+    }
+    names = [*(f"{t} primary key" for t in PRIMARY_KEYS if t != "order_lines"), *FOREIGN_KEY_NAMES]
+    rows = " UNION ALL ".join(
+        f"SELECT '{name}' AS constraint_name, "
+        + (f"(SELECT {broken[name]})" if name in broken else "CAST(0 AS BIGINT)")
+        + " AS violations"
+        for name in names
+    )
+    return f"WITH {_core('plain', False)} {rows}"
+
+
 def oracle_sql() -> dict[str, str]:
     typed_text = ", ".join(
         _as_text(name) if name in DATE_COLUMNS else name for name in _NAMES
@@ -247,6 +266,16 @@ def oracle_sql() -> dict[str, str]:
             "DISTINCT customer_id",
             "lines WHERE customer_id NOT IN (SELECT customer_id FROM core)",
         ),
+        "refresh_on_arrival_twice": _by_year("plain"),
+        "random_category": "SELECT CAST(1 AS BIGINT) AS rows_picked, true AS known",
+        "mart_for_random_category": "SELECT CAST(0 AS BIGINT) AS rows_missing, "
+        "CAST(0 AS BIGINT) AS rows_too_many",
+        "mart_for_each_category": _select(
+            "category AS category_name, sub_category AS sub_category_title, "
+            "CAST(sum(sum_of_sale) AS DECIMAL(20,2)) AS total_sales",
+            f"facts WHERE segment = '{SEGMENT}' AND year(order_date) = {YEAR} GROUP BY ALL",
+        ),
+        "constraint_report_broken": _broken_report(),
         "constraint_report": " UNION ALL ".join(
             f"SELECT '{name}' AS constraint_name, CAST(0 AS BIGINT) AS violations"
             for name in [

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import Future, ThreadPoolExecutor
+from concurrent.futures import CancelledError, Future, ThreadPoolExecutor
+from threading import Event
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from martloom.config import MartConfig
@@ -120,13 +122,30 @@ def build_core(
     done = dict(have or {})
     wanted = (_with_ancestors(only) if only is not None else set(NEEDS)) - done.keys()
     running: dict[str, Future[DataFrame]] = {}
+    failed = Event()
+    inherited = inheritable_thread_target(core_raw.sparkSession)
 
     def write(name: str) -> DataFrame:
         parents = {n: running[n].result() if n in running else done[n] for n in NEEDS[name]}
-        return save(name, BUILDERS[name](core_raw, parents, config))
+        if failed.is_set():
+            raise CancelledError(f"{name}: another table failed")
+        try:
+            return save(name, BUILDERS[name](core_raw, parents, config))
+        except BaseException:
+            failed.set()
+            raise
+
+    def results() -> dict[str, DataFrame]:
+        """The tables, or the error of the first one that failed of itself."""
+        errors = [e for e in (t.exception() for t in running.values()) if e is not None]
+        own = [e for e in errors if not isinstance(e, CancelledError)]
+        if errors:
+            raise (own or errors)[0]
+        return {name: table.result() for name, table in running.items()}
 
     with ThreadPoolExecutor(max_workers=len(NEEDS)) as pool:
         for name in NEEDS:
             if name in wanted:
-                running[name] = pool.submit(write, name)
-    return {**done, **{name: table.result() for name, table in running.items()}}
+                # the caller's job group, pool and tags hold in the thread, too
+                running[name] = pool.submit(inherited(write), name)
+    return {**done, **results()}

@@ -7,51 +7,60 @@ from pyspark.sql import DataFrame, functions as F
 from martloom.operators.sampling import random_row
 
 
-def mart_sales_by_year(tables: dict[str, DataFrame]) -> DataFrame:
-    """Sales by order year and category.
+def sales_grain(tables: dict[str, DataFrame]) -> DataFrame:
+    """Sales by order year, customer and product: what both marts are made of.
 
-    Products are brought to their category before they meet the fact, so the fact carries
-    one short column more and the order join is its only large one.
+    The order join is the only one that the whole fact takes part in. Its result is summed
+    up before anything else is joined, so later joins see sums and not lines.
     """
+    years = (
+        tables["dim_order"].join(tables["dim_date"], "date_id").select("order_id", "year")
+    )
+    return (
+        tables["fact_sales"]
+        .select("order_id", "customer_id", "product_id", "sum_of_sale")
+        .join(years, "order_id")
+        .groupBy("year", "customer_id", "product_id")
+        .agg(F.sum("sum_of_sale").cast("decimal(20,2)").alias("sum_of_sale"))
+    )
+
+
+def mart_sales_by_year(
+    tables: dict[str, DataFrame], grain: DataFrame | None = None
+) -> DataFrame:
+    """Sales by order year and category. `grain` is a written `sales_grain`, if there is one."""
     kinds = (
         tables["dim_product"]
         .join(tables["dim_sub_category"], "sub_category_id")
         .join(tables["dim_category"], "category_id")
         .select("product_id", "category_name")
     )
-    years = (
-        tables["dim_order"].join(tables["dim_date"], "date_id").select("order_id", "year")
+    products = (
+        (sales_grain(tables) if grain is None else grain)
+        .groupBy("year", "product_id")
+        .agg(F.sum("sum_of_sale").alias("sum_of_sale"))
     )
     return (
-        tables["fact_sales"]
-        .select("order_id", "product_id", "sum_of_sale")
-        .join(kinds, "product_id")
-        .join(years, "order_id")
+        products.join(kinds, "product_id")
         .groupBy("year", "category_name")
         .agg(F.sum("sum_of_sale").cast("decimal(20,2)").alias("sum_of_sale"))
         .orderBy("year", "category_name")
     )
 
 
-def mart_sub_category_sales(
-    tables: dict[str, DataFrame], segment: str, year: int, category: str
+def _sub_category_sales(
+    tables: dict[str, DataFrame],
+    categories: DataFrame,
+    segment: str,
+    year: int,
+    grain: DataFrame | None,
 ) -> DataFrame:
-    """Sales by sub-category of one category for one customer segment and order year.
-
-    Each condition thins out its dimension before the fact is joined.
-    """
+    """(category_name, sub_category_title, sum_of_sale) of one segment and order year. Each
+    condition thins out its dimension, or the year of the grain, before the join."""
     kinds = (
-        tables["dim_category"]
-        .filter(F.col("category_name") == F.lit(category))
-        .join(tables["dim_sub_category"], "category_id")
+        categories.join(tables["dim_sub_category"], "category_id")
         .join(tables["dim_product"], "sub_category_id")
-        .select("product_id", "sub_category_title")
-    )
-    orders = (
-        tables["dim_date"]
-        .filter(F.col("year") == F.lit(year))
-        .join(tables["dim_order"], "date_id")
-        .select("order_id")
+        .select("product_id", "category_name", "sub_category_title")
     )
     customers = (
         tables["dim_segment"]
@@ -60,17 +69,42 @@ def mart_sub_category_sales(
         .select("customer_id")
     )
     return (
-        tables["fact_sales"]
-        .select("order_id", "customer_id", "product_id", "sum_of_sale")
-        .join(kinds, "product_id")
+        (sales_grain(tables) if grain is None else grain)
+        .filter(F.col("year") == F.lit(year))
         .join(customers, "customer_id")
-        .join(orders, "order_id")
+        .join(kinds, "product_id")
+        .select("category_name", "sub_category_title", "sum_of_sale")
+    )
+
+
+def mart_sub_category_sales(
+    tables: dict[str, DataFrame],
+    segment: str,
+    year: int,
+    category: str,
+    grain: DataFrame | None = None,
+) -> DataFrame:
+    """Sales by sub-category of one category for one customer segment and order year."""
+    chosen = tables["dim_category"].filter(F.col("category_name") == F.lit(category))
+    return (
+        _sub_category_sales(tables, chosen, segment, year, grain)
         .groupBy("sub_category_title")
         .agg(F.sum("sum_of_sale").cast("decimal(20,2)").alias("total_sales"))
         .orderBy("sub_category_title")
     )
 
 
+def mart_for_each_category(
+    tables: dict[str, DataFrame], segment: str, year: int, grain: DataFrame | None = None
+) -> DataFrame:
+    """The sub-category marts of all categories in one table."""
+    return (
+        _sub_category_sales(tables, tables["dim_category"], segment, year, grain)
+        .groupBy("category_name", "sub_category_title")
+        .agg(F.sum("sum_of_sale").cast("decimal(20,2)").alias("total_sales"))
+    )
+
+
 def random_category(dim_category: DataFrame, seed: int | None = None) -> DataFrame:
     """The name of one category, each as likely as any other."""
     return random_row(dim_category.select("category_name"), seed)
@@ -84,10 +118,14 @@ def known_category(dim_category: DataFrame, category: str) -> str:
 
 
 def mart_for_random_category(
-    tables: dict[str, DataFrame], segment: str, year: int, seed: int | None = None
+    tables: dict[str, DataFrame],
+    segment: str,
+    year: int,
+    seed: int | None = None,
+    grain: DataFrame | None = None,
 ) -> DataFrame:
     """The sub-category mart of a random category. One name comes to the driver."""
     picked = random_category(tables["dim_category"], seed).collect()
     if not picked or picked[0]["category_name"] is None:
         raise ValueError("there is no category to choose from")
-    return mart_sub_category_sales(tables, segment, year, picked[0]["category_name"])
+    return mart_sub_category_sales(tables, segment, year, picked[0]["category_name"], grain)

@@ -11,10 +11,12 @@ from martloom.plans.marts import (
     mart_for_random_category,
     mart_sales_by_year,
     mart_sub_category_sales,
+    sales_grain,
 )
 from martloom.plans.raw import core_raw, raw_dates, raw_typed
 from martloom.schemas import PRIMARY_KEYS
 from martloom.sources.order_lines_csv import read_raw_csv
+from martloom.sources.staging import Staging
 from martloom.sources.tables import Warehouse
 
 
@@ -66,11 +68,15 @@ def refresh(
     config = warehouse.config
     warehouse.discard()
     tables = load_core(warehouse, load_raw(warehouse, path, pattern), verify)
-    warehouse.stage("mart_sales_by_year", mart_sales_by_year(tables))
-    if category is None:
-        second = mart_for_random_category(tables, config.segment, config.year, seed)
-    else:
-        known_category(tables["dim_category"], category)
-        second = mart_sub_category_sales(tables, config.segment, config.year, category)
-    warehouse.stage("mart_sub_category_sales", second)
+    with Staging(warehouse.spark) as staging:
+        grain = staging.save("sales_grain", sales_grain(tables))
+        warehouse.stage("mart_sales_by_year", mart_sales_by_year(tables, grain))
+        if category is None:
+            second = mart_for_random_category(tables, config.segment, config.year, seed, grain)
+        else:
+            known_category(tables["dim_category"], category)
+            second = mart_sub_category_sales(
+                tables, config.segment, config.year, category, grain
+            )
+        warehouse.stage("mart_sub_category_sales", second)
     warehouse.publish()

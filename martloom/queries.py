@@ -26,6 +26,7 @@ from martloom.plans import natural
 from martloom.plans.core import GRAINS, build_core
 from martloom.plans.dims import product_grain, product_price
 from martloom.plans.marts import (
+    mart_for_each_category,
     mart_for_random_category,
     mart_sales_by_year,
     mart_sub_category_sales,
@@ -181,6 +182,27 @@ def q_refresh_on_arrival(spark: SparkSession, folder: str) -> DataFrame:
     return mart
 
 
+def q_refresh_on_arrival_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """A second landing replaces the first: other lines land, are loaded, then the real ones."""
+    warehouse = _warehouse(spark)
+    root = warehouse.staging.root
+    for day, variant in (("day-1", "shared_all"), ("day-2", "plain")):
+        land_csv(order_lines(spark, folder, variant), f"{root}/landing/{day}")
+        write_marker(spark, f"{root}/landing/{day}/READY")
+        loaded = refresh_on_arrival(
+            spark,
+            f"{root}/landing",
+            f"{root}/seen",
+            lambda path: refresh(warehouse, path, pattern="*.csv", category=CATEGORY),
+            marker="READY",
+        )
+        if loaded != 1:
+            raise RuntimeError(f"{day}: {loaded} landings were loaded")
+    mart = warehouse.read_table("mart_sales_by_year")
+    warehouse.drop_layers()
+    return mart
+
+
 def q_publish_mart(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = _warehouse(spark)
     rows = mart_sales_by_year(core_layer(spark, folder).tables())
@@ -275,11 +297,35 @@ def _by_sub_category(variant: str, strict: bool = False) -> Query:
 
 
 def q_random_category(spark: SparkSession, folder: str) -> DataFrame:
-    return random_category(core_layer(spark, folder).tables("dim_category")["dim_category"])
+    """What holds for every pick: one row, of a category that there is."""
+    categories = core_layer(spark, folder).tables("dim_category")["dim_category"]
+    known = categories.select("category_name", F.lit(True).alias("known"))
+    return random_category(categories).join(known, "category_name", "left").agg(
+        F.count(F.lit(1)).alias("rows_picked"),
+        F.coalesce(F.bool_and("known"), F.lit(False)).alias("known"),
+    )
 
 
 def q_mart_for_random_category(spark: SparkSession, folder: str) -> DataFrame:
-    return mart_for_random_category(core_layer(spark, folder).tables(), SEGMENT, YEAR)
+    """The mart of a pick against the sums of all categories: rows missing and too many."""
+    tables = core_layer(spark, folder).tables()
+    seed = uuid.uuid4().int % (1 << 31)
+    picked = random_category(tables["dim_category"], seed)
+    mart = mart_for_random_category(tables, SEGMENT, YEAR, seed)
+    want = mart_for_each_category(tables, SEGMENT, YEAR).join(picked, "category_name", "left_semi")
+    both = mart.select("*", F.lit(1).alias("got")).unionByName(
+        want.select("sub_category_title", "total_sales", F.lit(-1).alias("got"))
+    )
+    rows = both.groupBy("sub_category_title", "total_sales").agg(F.sum("got").alias("got"))
+    zero = F.lit(0).cast("long")
+    return rows.agg(
+        F.coalesce(F.sum(F.greatest(-F.col("got"), zero)), zero).alias("rows_missing"),
+        F.coalesce(F.sum(F.greatest(F.col("got"), zero)), zero).alias("rows_too_many"),
+    )
+
+
+def q_mart_for_each_category(spark: SparkSession, folder: str) -> DataFrame:
+    return mart_for_each_category(core_layer(spark, folder).tables(), SEGMENT, YEAR)
 
 
 # layer build and checks
@@ -330,6 +376,19 @@ def q_constraint_report(spark: SparkSession, folder: str) -> DataFrame:
     return constraint_report({"core_raw": layer.lines, **layer.tables()})
 
 
+def q_constraint_report_broken(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of a layer with a category and some customers taken out, and the shipping
+    modes twice."""
+    layer = core_layer(spark, folder)
+    tables = {"core_raw": layer.lines, **layer.tables()}
+    tables["dim_category"] = tables["dim_category"].filter(F.col("category_name") != CATEGORY)
+    tables["dim_customer"] = tables["dim_customer"].filter(
+        ~F.col("customer_id_from_raw").endswith("7")
+    )
+    tables["dim_ship_mode"] = tables["dim_ship_mode"].unionAll(tables["dim_ship_mode"])
+    return constraint_report(tables)
+
+
 def _reconciliation(variant: str, strict: bool) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         layer = core_layer(spark, folder, variant, strict)
@@ -372,12 +431,15 @@ QUERIES: dict[str, Query] = {
     "mart_sub_category_sales_strict": _by_sub_category("shared_all", strict=True),
     "random_category": q_random_category,
     "mart_for_random_category": q_mart_for_random_category,
+    "mart_for_each_category": q_mart_for_each_category,
     "build_core": q_build_core,
     "publish_mart": q_publish_mart,
     "refresh_on_arrival": q_refresh_on_arrival,
+    "refresh_on_arrival_twice": q_refresh_on_arrival_twice,
     "check_primary_key": q_check_primary_key,
     "check_foreign_key": q_check_foreign_key,
     "constraint_report": q_constraint_report,
+    "constraint_report_broken": q_constraint_report_broken,
     "reconciliation": _reconciliation("shared_all", strict=False),
     "reconciliation_strict": _reconciliation("shared_all", strict=True),
 }

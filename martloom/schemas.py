@@ -33,6 +33,7 @@ ORDER_LINE_COLUMNS = (
 )
 DATE_COLUMNS = ("order_date", "ship_date")
 
+# The names of the three layers.
 RAW = "raw_store"
 CORE = "core_store"
 MART = "mart_store"

@@ -22,7 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     application = spark.sparkContext.applicationId
     if application not in _local_folders:
@@ -46,7 +47,8 @@ def write_marker(spark: SparkSession, path: str) -> None:
 
 
 class Staging:
-    """A new folder per run, deleted when the application ends."""
+    """A new folder per run, deleted when the application ends, or with the block if it is
+    used as a context: then the tables saved in it must not be read any more."""
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
@@ -56,6 +58,13 @@ class Staging:
         system.mkdirs(where)
         system.deleteOnExit(where)
 
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        system, where = hadoop_path(self.spark, self.root)
+        system.delete(where, True)
+
     def save(self, name: str, df: DataFrame) -> DataFrame:
         """Write to a folder of its own and return the written table."""
         path = f"{self.root}/{name}-{uuid.uuid4().hex}"

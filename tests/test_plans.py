@@ -71,3 +71,29 @@ def test_no_python_in_any_plan(layer):
 
     text = plan(fact_sales(layer.lines, layer.tables(), MartConfig()))
     assert "Python" not in text and "Pandas" not in text
+
+
+def test_only_the_order_join_shuffles_unsummed_fact_rows(spark, layer):
+    from martloom.plans.marts import mart_sales_by_year
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for mart in (
+            mart_sales_by_year(layer.tables()),
+            mart_sub_category_sales(layer.tables(), "BUILDING", 1998, "ECONOMY"),
+        ):
+            text = plan(mart)
+            scan = next(line for line in text.split("\n") if "sum_of_sale" in line and "FileScan" in line)
+            depth = len(scan) - len(scan.lstrip(" :+-"))
+            above, exchanges = depth, []
+            for line in reversed(text[: text.index(scan)].split("\n")):
+                at = len(line) - len(line.lstrip(" :+-"))
+                if line.strip() and at < above:
+                    above = at
+                    if "HashAggregate" in line:
+                        break
+                    if "Exchange hashpartitioning" in line:
+                        exchanges.append(line)
+            assert len(exchanges) == 1 and "order_id" in exchanges[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

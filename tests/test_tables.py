@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import os
+import time
 import uuid
 from decimal import Decimal
 
@@ -212,3 +214,47 @@ def test_marker_completes_a_folder(spark, tmp_path):
     assert arrive() == 0
     (landing / "day1" / "READY").write_text("complete\n")
     assert arrive() == 1 and seen[0].endswith("/day1")
+
+
+def test_a_landing_of_any_age_is_loaded(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    seen: list[str] = []
+
+    def arrive():
+        return refresh_on_arrival(spark, str(landing), str(tmp_path / "seen"), seen.append)
+
+    write(landing / "new.csv", [ROW])
+    assert arrive() == 1
+    write(landing / "old.csv", [ROW])
+    long_ago = time.time() - 400 * 86400
+    os.utime(landing / "old.csv", (long_ago, long_ago))
+    assert arrive() == 1 and seen[-1].endswith("old.csv")
+
+
+def test_an_empty_marker_is_an_error_until_it_is_filled(spark, tmp_path):
+    (tmp_path / "landing/day").mkdir(parents=True)
+    marker = tmp_path / "landing/day/READY"
+    marker.touch()
+    seen: list[str] = []
+
+    def arrive():
+        return refresh_on_arrival(
+            spark, str(tmp_path / "landing"), str(tmp_path / "seen"), seen.append, marker="READY"
+        )
+
+    with pytest.raises(Exception, match="holds nothing yet"):
+        arrive()
+    assert seen == []
+    marker.write_text("complete\n")
+    assert arrive() == 1 and seen[0].endswith("/day")
+    assert arrive() == 0
+
+
+def test_staging_as_a_context_leaves_nothing(spark):
+    with pytest.raises(RuntimeError):
+        with Staging(spark) as staging:
+            staging.save("rows", spark.range(3))
+            assert os.path.isdir(staging.root)
+            raise RuntimeError
+    assert not os.path.exists(staging.root)
