@@ -23,9 +23,10 @@ from martloom.sources.tables import Warehouse
 def load_raw(warehouse: Warehouse, path: str, pattern: str = "*") -> DataFrame:
     """Parse, type and date the file in one pass and write it. Row ids come from the user,
     so their key is checked, on that one column of the written table."""
-    text = read_raw_csv(warehouse.spark, path, pattern=pattern)
-    dated = raw_dates(raw_typed(text, warehouse.config.key_type))
-    return warehouse.stage("order_lines", dated, check_key=True, conformed=True)
+    with Staging(warehouse.spark) as staging:
+        text = read_raw_csv(warehouse.spark, path, pattern, staging)
+        dated = raw_dates(raw_typed(text, warehouse.config.key_type))
+        return warehouse.stage("order_lines", dated, check_key=True, conformed=True)
 
 
 def load_core(

@@ -1,10 +1,10 @@
-"""Records of delimited files that span lines, without one task per file.
+"""Records of delimited files that span lines, whatever the size of a file.
 
-Spark splits a text file but not a delimited file whose fields may hold line breaks, since
-it cannot know whether a split starts inside a field. The number of quotes tells: a line
-starts inside a field when an odd number of quotes stands before it. So quotes are counted
-per split, the counts are summed up over the splits of a file, and each split then finds
-its own record starts.
+A text file is split between tasks, and a split may start inside a quoted field. What a line does
+to that is one of two answers for each of two cases: whether it ends inside a field, if it starts
+outside of one and if it starts inside. So it either decides the state by itself, keeps it, or
+turns it over. Lines add up over a split, splits over a file, and then every line knows where it
+starts. A quote opens a field only at the field's beginning; elsewhere in a plain field it is text.
 """
 
 from __future__ import annotations
@@ -13,29 +13,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from martloom.sources.staging import Staging
 
-# The longest field a file may have, and its number of fields.
-FIELD_LIMIT = 131072
-FIELDS = 21
+# Longest record, in characters. A quote that is closed by accident much later would make one.
+RECORD_LIMIT = 1 << 24
 
-# Quotes stand around a whole field or, doubled, inside one; nowhere else.
-_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
-STRICT_RECORD = rf"^{_FIELD}(?:,{_FIELD})*+$"
+_INSIDE = r'[^"]*+(?:""[^"]*+)*+'
+_FIELD = rf'(?:"{_INSIDE}"[^,]*+|(?:[^",][^,]*+)?)'
+# A line that starts outside a field, and one that starts inside, and end inside of one.
+OPENS = rf'^(?:{_FIELD},)*+"{_INSIDE}\z'
+STAYS_OPEN = rf'^{_INSIDE}(?:\z|"[^,]*+,(?:{_FIELD},)*+"{_INSIDE}\z)'
 
 
-def odd_quotes(line: Column) -> Column:
-    """1 if a field that is open before the line is closed after it, or the reverse."""
-    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2
-
-
-def has_open_line(spark: SparkSession, path: str, pattern: str) -> bool:
-    lines = spark.read.option("pathGlobFilter", pattern).text(path)
-    return not lines.filter(odd_quotes(F.col("value")) == 1).isEmpty()
-
-
-def _marked_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """Lines with the position of the line their record starts at; NULL if that line is in
-    an earlier split. Positions grow along a split and never repeat."""
-    lines = (
+def _lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """Lines with their file, split and position; positions grow along a split and never
+    repeat."""
+    return (
         spark.read.option("pathGlobFilter", pattern)
         .text(path)
         .select(
@@ -44,102 +35,137 @@ def _marked_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("position"),
         )
-        .withColumn("odd", odd_quotes(F.col("value")))
-    )
-    earlier_splits = Window.partitionBy("file").orderBy("split").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    opens = (
-        lines.groupBy("file", "split")
-        .agg(F.sum("odd").alias("odd_sum"))
-        .select(
-            "file",
-            "split",
-            F.coalesce(F.sum("odd_sum").over(earlier_splits), F.lit(0)).alias("odd_before"),
-        )
-    )
-    in_split = Window.partitionBy("file", "split").orderBy("position")
-    before = in_split.rowsBetween(Window.unboundedPreceding, -1)
-    quotes = F.col("odd_before") + F.coalesce(F.sum("odd").over(before), F.lit(0))
-    start = F.when(quotes % 2 == 0, F.col("position"))
-    return (
-        lines.join(opens, ["file", "split"])
-        .withColumn("start", start)
-        .withColumn("start", F.last("start", ignorenulls=True).over(in_split))
-        .select("value", "file", "split", "position", "start")
     )
 
 
-def stitched_records(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """(file, split, position, record) of all records, headers included.
+def _added_up(table: DataFrame, key: list[str], order: str) -> DataFrame:
+    """`table` with columns turns (0 or 1) and decides (0, 1 or NULL) gets what they come to
+    before and after each row: (since_before, turns_before), (since, turned). A state is
+    (since + turned) % 2, or (start + turned) % 2 while nothing has decided."""
+    rows = Window.partitionBy(*key).orderBy(order)
+    until = rows.rowsBetween(Window.unboundedPreceding, 0)
+    before = rows.rowsBetween(Window.unboundedPreceding, -1)
+    turned = table.withColumn("turned", F.sum("turns").over(until))
+    based = turned.withColumn("base", (F.col("decides") + F.col("turned")) % 2)
+    return based.withColumns(
+        {
+            "since": F.last("base", ignorenulls=True).over(until),
+            "since_before": F.last("base", ignorenulls=True).over(before),
+            "turns_before": F.coalesce(F.sum("turns").over(before), F.lit(0)),
+        }
+    )
 
-    Raises if a record is longer than its fields may be: then a quote is never closed, and
-    the rest of the file would be one record.
-    """
-    staging = Staging(spark)
-    lines = staging.save("lines", _marked_lines(spark, path, pattern))
-    earlier_splits = Window.partitionBy("file").orderBy("split").rowsBetween(
-        Window.unboundedPreceding, -1
+
+def _state(start: Column, since: str, turns: str) -> Column:
+    return (F.coalesce(F.col(since), start) + F.col(turns)) % 2
+
+
+def _marked_lines(staging: Staging, lines: DataFrame) -> DataFrame:
+    """Lines with inside_before and inside_after: 1 if the line starts, or ends, in a field."""
+    opens = F.col("value").rlike(OPENS)
+    stays = F.col("value").rlike(STAYS_OPEN)
+    effects = lines.select("*", opens.cast("int").alias("opens"), stays.cast("int").alias("stays"))
+    effects = effects.select(
+        "value", "file", "split", "position",
+        (F.col("opens") > F.col("stays")).cast("int").alias("turns"),
+        F.when(F.col("opens") == F.col("stays"), F.col("opens")).alias("decides"),
+    )
+    lines = staging.save("lines", _added_up(effects, ["file", "split"], "position"))
+    last = F.max(F.struct("position", "since", "turned")).alias("last")
+    splits = lines.groupBy("file", "split").agg(last).select(
+        "file",
+        "split",
+        # a split decides the state if one of its lines does, else it keeps it or turns it over
+        ((F.col("last.since") + F.col("last.turned")) % 2).alias("decides"),
+        F.when(F.col("last.since").isNull(), F.col("last.turned") % 2).otherwise(0).alias("turns"),
+    )
+    splits = _added_up(splits, ["file"], "split").select(
+        "file",
+        "split",
+        _state(F.lit(0), "since_before", "turns_before").alias("start"),
+        _state(F.lit(0), "since", "turned").alias("end"),
     )
+    splits = staging.save("splits", splits)
+    ends = splits.groupBy("file").agg(F.max(F.struct("split", "end")).alias("last"))
+    if not ends.filter(F.col("last.end") == 1).isEmpty():
+        raise ValueError("a quoted field is still open at the end of a file")
+    return lines.join(splits, ["file", "split"]).select(
+        "value", "file", "split", "position",
+        _state(F.col("start"), "since_before", "turns_before").alias("inside_before"),
+        _state(F.col("start"), "since", "turned").alias("inside_after"),
+    )
+
+
+def _spanning(staging: Staging, marked: DataFrame) -> DataFrame:
+    """Records of more than one line, in one piece each."""
+    inside = (F.col("inside_before") == 1) | (F.col("inside_after") == 1)
+    head = F.when(F.col("inside_before") == 0, F.col("position"))
+    rows = Window.partitionBy("file", "split").orderBy("position")
+    parts = marked.filter(inside).withColumn("start", F.last(head, ignorenulls=True).over(rows))
+    parts = staging.save("parts", parts)
+    earlier = Window.partitionBy("file").orderBy("split")
     carried = (
-        lines.groupBy("file", "split")
+        parts.groupBy("file", "split")
         .agg(F.max("start").alias("last_start"))
         .select(
             "file",
             "split",
-            F.last("last_start", ignorenulls=True).over(earlier_splits).alias("carried"),
+            F.last("last_start", ignorenulls=True)
+            .over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+            .alias("carried"),
         )
     )
-    tails = (
-        lines.filter(F.col("start").isNull() | (F.col("start") != F.col("position")))
-        .join(carried, ["file", "split"])
-        .select(
-            F.coalesce("start", "carried").alias("record_start"), "split", "position", "value"
-        )
-    )
-    tails = staging.save("tails", tails)
-    too_long = (
-        tails.groupBy("record_start")
-        .agg(F.sum(F.length("value") + 1).alias("size"))
-        .filter(F.col("size") > FIELD_LIMIT * FIELDS)
-    )
-    if not too_long.isEmpty():
-        raise ValueError(f"{path}: a quoted field is longer than {FIELD_LIMIT} characters")
-    parts = F.array_sort(F.collect_list(F.struct("split", "position", "value")))
-    joined = tails.groupBy("record_start").agg(
-        F.array_join(F.transform(parts, lambda part: part["value"]), "\n").alias("tail")
-    )
-    heads = lines.filter(F.col("start") == F.col("position"))
-    return (
-        heads.join(joined, heads["position"] == joined["record_start"], "left")
-        .select(
-            "file",
-            "split",
-            "position",
-            F.concat(
-                "value", F.coalesce(F.concat(F.lit("\n"), "tail"), F.lit(""))
-            ).alias("record"),
-        )
-        .filter(F.trim("record") != "")
+    parts = staging.save(
+        "parts",
+        parts.join(carried, ["file", "split"]).select(
+            F.coalesce("start", "carried").alias("record"), "file", "split", "position", "value"
+        ),
     )
-
-
-def is_strict(records: DataFrame) -> bool:
-    """Whether counting quotes was right: no quote stands inside a field without quotes."""
-    return records.filter(~F.col("record").rlike(STRICT_RECORD)).isEmpty()
-
-
-def split_header(records: DataFrame) -> tuple[str, DataFrame]:
+    sizes = parts.groupBy("record").agg(F.sum(F.length("value") + 1).alias("size"))
+    if not sizes.filter(F.col("size") > RECORD_LIMIT).isEmpty():
+        raise ValueError(f"a record is longer than {RECORD_LIMIT} characters")
+    lines = F.array_sort(F.collect_list(F.struct("split", "position", "value")))
+    return parts.groupBy("record").agg(
+        F.min("file").alias("file"),
+        F.min("split").alias("split"),
+        F.col("record").alias("position"),
+        F.array_join(F.transform(lines, lambda line: line["value"]), "\n").alias("text"),
+    ).select("file", "split", "position", F.col("text").alias("record"))
+
+
+def records(staging: Staging, path: str, pattern: str) -> DataFrame:
+    """(file, split, position, record) of all records, headers included; empty lines between
+    records are left out.
+
+    Raises if a quoted field is never closed or a record is longer than RECORD_LIMIT. If no
+    line opens a field, no record has a second line, and nothing is shuffled or written.
+    """
+    lines = _lines(staging.spark, path, pattern)
+    if lines.filter(F.col("value").rlike(OPENS)).isEmpty():
+        found = lines.select("file", "split", "position", F.col("value").alias("record"))
+    else:
+        marked = _marked_lines(staging, lines)
+        alone = marked.filter((F.col("inside_before") == 0) & (F.col("inside_after") == 0))
+        found = alone.select(
+            "file", "split", "position", F.col("value").alias("record")
+        ).unionByName(_spanning(staging, marked))
+        found = staging.save("records", found)
+    return found.filter(F.col("record") != "")
+
+
+def split_header(found: DataFrame) -> tuple[str, DataFrame]:
     """The header that all files share, and the other records."""
     first = (
-        records.filter(F.col("split") == 0)
+        found.filter(F.col("split") == 0)
         .groupBy("file")
         .agg(F.min(F.struct("position", "record")).alias("first"))
     )
     headers = first.select("first.record").distinct().limit(2).collect()
     if len(headers) != 1:
         raise ValueError("the files have no header or different ones")
-    rest = records.join(
-        first.select(F.col("first.position").alias("position")), "position", "left_anti"
-    )
-    return headers[0]["record"], rest
+    header = headers[0]["record"]
+    # the header is the first record of its file: a line equal to it may come again as data
+    rest = found.join(
+        first.select("file", F.col("first.position").alias("header_at")), "file"
+    ).filter(F.col("position") != F.col("header_at"))
+    return header, rest

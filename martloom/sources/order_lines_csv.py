@@ -5,44 +5,16 @@ from __future__ import annotations
 import csv
 import io
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom.schemas import ORDER_LINE_COLUMNS
-from martloom.sources.csv_records import (
-    has_open_line,
-    is_strict,
-    split_header,
-    stitched_records,
-)
+from martloom.sources.csv_records import records, split_header
+from martloom.sources.staging import Staging
 
-# A file up to this size is one task anyway.
-SPLIT_BYTES = 128 * 1024 * 1024
-
-
-def _has_file_over(spark: SparkSession, path: str, size: int, pattern: str) -> bool:
-    """Lists files only; their content is not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return not files.select("length").filter(F.col("length") > size).isEmpty()
-
-
-def _field(value: Column, multi_line: bool) -> Column:
-    """'' where Spark reads NULL. A line break inside a field reads as \\n, however the file
-    writes it."""
-    text = F.coalesce(value, F.lit(""))
-    if multi_line:
-        for line_break in ("\r\n", "\r"):
-            text = F.replace(text, F.lit(line_break), F.lit("\n"))
-    return text
-
-
-_DIALECT = {"quote": '"', "escape": '"', "mode": "FAILFAST", "columnPruning": "false"}
-
-
-def _named(table: DataFrame, headers: list[str], multi_line: bool) -> DataFrame:
-    names = {header: name for header, name, _ in ORDER_LINE_COLUMNS}
-    return table.select(
-        *[_field(F.col(f"`{header}`"), multi_line).alias(names[header]) for header in headers]
-    )
+_DIALECT = {
+    "quote": '"', "escape": '"', "mode": "FAILFAST", "columnPruning": "false",
+    "maxCharsPerColumn": "-1",
+}
 
 
 def _check_headers(headers: list[str]) -> None:
@@ -52,54 +24,26 @@ def _check_headers(headers: list[str]) -> None:
         raise ValueError(f"the order-line file has an unknown or repeated column: {wrong}")
 
 
-def _read_stitched(spark: SparkSession, path: str, pattern: str) -> DataFrame | None:
-    """Big files with records over lines; None if only a reader of the whole file can tell
-    where a record ends."""
-    records = stitched_records(spark, path, pattern)
-    if not is_strict(records):
-        return None
-    header, rest = split_header(records)
-    headers = next(csv.reader(io.StringIO(header)))
-    _check_headers(headers)
-    schema = ", ".join(f"`{name}` STRING" for name in headers)
-    # as a generator the parser runs once per record, even for a count of rows
-    fields = rest.select(F.inline(F.array(F.from_csv("record", schema, _DIALECT))))
-    return _named(fields, headers, multi_line=False)
-
-
 def read_raw_csv(
-    spark: SparkSession,
-    path: str,
-    multi_line: bool | None = None,
-    pattern: str = "*",
-    split_bytes: int = SPLIT_BYTES,
+    spark: SparkSession, path: str, pattern: str = "*", staging: Staging | None = None
 ) -> DataFrame:
     """One file or a folder of files as text columns under our names.
 
-    Columns are bound by their header. A field may hold commas, doubled quotes and line
-    breaks. An empty field is '' and not NULL. A line with too few or too many fields
-    fails the read, whichever columns are used, and so does a file of the folder whose
-    header differs.
-
-    Files up to `split_bytes` are read by one task each. Bigger ones are split: at any line
-    if no record spans lines, else where the quotes before a line allow it. `multi_line`
-    says which, without a look at the data: True reads each file as a whole. `pattern`
-    narrows the files of a folder by name.
+    Columns are bound by their header. A field may hold commas, doubled quotes and line breaks,
+    which read as \\n however they are written. An empty field is '' and not NULL; an empty line
+    is no record. A record with too few or too many fields fails the read, whichever columns are
+    used, and so does a blank line, a quoted field that is never closed, or a file of the folder
+    whose header differs. Every file is read by as many tasks as it has splits, by the same
+    rules at any size; a compressed file has one split. `pattern` narrows the files of a folder
+    by name. Files with records over lines are written to `staging` on the way.
     """
-    if multi_line is None:
-        multi_line = True
-        if _has_file_over(spark, path, split_bytes, pattern):
-            multi_line = has_open_line(spark, path, pattern)
-            stitched = _read_stitched(spark, path, pattern) if multi_line else None
-            if stitched is not None:
-                return stitched
-    table = (
-        spark.read.options(**_DIALECT)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("multiLine", multi_line)
-        .option("pathGlobFilter", pattern)
-        .csv(path)
+    header, rest = split_header(records(staging or Staging(spark), path, pattern))
+    headers = next(csv.reader(io.StringIO(header)))
+    _check_headers(headers)
+    schema = ", ".join(f"`{name}` STRING" for name in headers)
+    # as a generator the parser runs once per record, even for a count of rows
+    fields = rest.select(F.inline(F.array(F.from_csv("record", schema, _DIALECT))))
+    names = {title: name for title, name, _ in ORDER_LINE_COLUMNS}
+    return fields.select(
+        *[F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(names[h]) for h in headers]
     )
-    _check_headers(table.columns)
-    return _named(table, table.columns, multi_line)
