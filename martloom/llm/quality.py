@@ -75,7 +75,11 @@ def with_statistics(documents: DataFrame, text: str = "text") -> DataFrame:
         lambda s, k: F.least(F.lit(WINDOW), F.coalesce(F.get(starts, k + 1) - s, F.lit(WINDOW))),
     )
     repeat = F.coalesce(F.aggregate(covered, F.lit(0), lambda a, b: a + b), F.lit(0)).cast("long")
-    return four.select(*names, *[repeat.alias(s) if s == "n_repeat_words" else s for s in STATISTICS])
+    measured = [repeat.alias(s) if s == "n_repeat_words" else F.col(s) for s in STATISTICS]
+    # out of a generator, so that no later filter is pushed below the statistics: the optimizer
+    # would compute the windows of a text once for each of its words
+    row = F.struct(*[F.col(f"`{n}`") for n in names], *measured)
+    return four.select(F.inline(F.array(row)))
 
 
 STATISTICS = (
@@ -239,12 +243,8 @@ def judged(documents: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the fixed rules and the learned list keep, columns unchanged.
-
-    Kept rows come out of a generator: the optimizer would push a filter below the statistics
-    and compute the windows of a text once for each of its words.
-    """
+    """The documents that the fixed rules and the learned list keep, columns unchanged."""
     rules = fit(documents, labels)
     row = F.struct(*[documents[c] for c in documents.columns])
     found = judged(documents.select(row.alias("_row"), "text"), rules)
-    return found.select(F.inline(F.when(F.col("kept"), F.array("_row"))))
+    return found.filter("kept").select("_row.*")
