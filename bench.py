@@ -21,6 +21,7 @@ from martloom.queries import QUERIES, core_layer
 
 HEADLINE = (
     "read_raw_csv",
+    "read_raw_csv_breaks",
     "raw_dates",
     "core_raw",
     "product_price",

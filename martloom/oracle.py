@@ -134,6 +134,12 @@ def _as_text(column: str) -> str:
     return f"CAST({column} AS STRING) AS {column}"
 
 
+def _text_but(changed: dict[str, str]) -> str:
+    return ", ".join(
+        f"{changed[name]} AS {name}" if name in changed else _as_text(name) for name in _NAMES
+    )
+
+
 def _select(columns: str, source: str = "core", variant: str = "plain") -> str:
     return f"WITH {_core(variant, False)} SELECT {columns} FROM {source}"
 
@@ -201,6 +207,19 @@ def oracle_sql() -> dict[str, str]:
     )
     return {
         "read_raw_csv": _select(", ".join(map(_as_text, _NAMES)), "lines"),
+        "read_raw_csv_breaks": _select(
+            _text_but({"product_name": """product_name || chr(10) || '"' || quantity || '",'
+                || chr(10) || chr(10) || 'end'"""}),
+            "lines",
+        ),
+        "read_raw_csv_stray_quotes": _select(
+            _text_but({
+                "city": """'3" ' || city""",
+                "state": """state || '"'""",
+                "product_name": """product_name || chr(10) || '"x", y'""",
+            }),
+            "lines",
+        ),
         "raw_typed": _select(typed_text, "lines"),
         "raw_dates": _select("*", "lines"),
         "conform": _select("*", "lines"),

@@ -37,7 +37,7 @@ from martloom.plans.refresh import publish_mart, refresh
 from martloom.schemas import FOREIGN_KEYS
 from martloom.sources.order_lines_csv import read_raw_csv
 from martloom.sources.staging import Staging, write_marker
-from martloom.sources.star_schema import as_text, land_csv, order_lines
+from martloom.sources.star_schema import as_text, land_csv, land_fields, order_lines
 from martloom.sources.tables import Warehouse
 from martloom.streaming.arrival import refresh_on_arrival
 
@@ -104,6 +104,29 @@ def q_read_raw_csv(spark: SparkSession, folder: str) -> DataFrame:
     return _without_row_id(read_raw_csv(spark, landing))
 
 
+def q_read_raw_csv_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Names with line breaks, quotes and commas, written and read back."""
+    landing = f"{Staging(spark).root}/csv"
+    lines = order_lines(spark, folder)
+    broken = F.concat("product_name", F.lit('\n"'), F.col("quantity").cast("string"), F.lit('",\n\nend'))
+    land_csv(lines.withColumn("product_name", broken), landing)
+    return _without_row_id(read_raw_csv(spark, landing))
+
+
+def q_read_raw_csv_stray_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """Quotes inside plain fields, beside quoted fields with line breaks and doubled quotes."""
+    landing = f"{Staging(spark).root}/csv"
+    fields = as_text(order_lines(spark, folder)).withColumns(
+        {
+            "city": F.concat(F.lit('3" '), "city"),
+            "state": F.concat("state", F.lit('"')),
+            "product_name": F.concat(F.lit('"'), "product_name", F.lit('\n""x"", y"')),
+        }
+    )
+    land_fields(fields, landing)
+    return _without_row_id(read_raw_csv(spark, landing))
+
+
 def _landed_text(spark: SparkSession, text: DataFrame) -> DataFrame:
     """Text columns as a load finds them: written before typing starts."""
     return Staging(spark).save("text", text)
@@ -399,6 +422,8 @@ def _reconciliation(variant: str, strict: bool) -> Query:
 
 QUERIES: dict[str, Query] = {
     "read_raw_csv": q_read_raw_csv,
+    "read_raw_csv_breaks": q_read_raw_csv_breaks,
+    "read_raw_csv_stray_quotes": q_read_raw_csv_stray_quotes,
     "raw_typed": q_raw_typed,
     "raw_dates": q_raw_dates,
     "conform": q_conform,

@@ -127,3 +127,17 @@ def land_csv(lines: DataFrame, folder: str) -> None:
         *[F.col(name).alias(header) for header, name, _ in ORDER_LINE_COLUMNS]
     )
     headed.write.option("header", True).option("quote", '"').option("escape", '"').csv(folder)
+
+
+def land_fields(fields: DataFrame, folder: str, files: int = 8) -> None:
+    """Write text columns as delimited files just as they are: quotes, where a field has any,
+    are the caller's. Each file starts with the header."""
+    key = F.pmod(F.xxhash64("order_id"), F.lit(files)).cast("int")
+    line = F.concat_ws(",", *[F.col(name) for name in ORDER_LINE_NAMES])
+    header = F.lit(",".join(header for header, _, _ in ORDER_LINE_COLUMNS))
+    heads = fields.sparkSession.range(files).select(
+        F.col("id").cast("int").alias("file"), F.lit(0).alias("place"), header.alias("line")
+    )
+    rows = fields.select(key.alias("file"), F.lit(1).alias("place"), line.alias("line"))
+    rows = heads.unionByName(rows).repartition(files, "file").sortWithinPartitions("file", "place")
+    rows.select("file", "line").write.partitionBy("file").text(folder)
