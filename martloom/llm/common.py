@@ -42,6 +42,19 @@ def split_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{ASCII_SPACE}]+"), "")
 
 
+def as_rows(documents: DataFrame) -> DataFrame:
+    """Each document as one column `row`, with `row_id` and `row_key` to join on: names of other
+    columns then never meet those of an operator."""
+    row = F.struct(*[documents[c] for c in documents.columns])
+    key = text_key(documents["text"])
+    return documents.select(row.alias("row"), documents["doc_id"].alias("row_id"), key.alias("row_key"))
+
+
+def same_document(rows: DataFrame, other: DataFrame) -> Column:
+    """Join condition of `as_rows` and a table with doc_id and text_key; nulls are equal."""
+    return rows["row_id"].eqNullSafe(other["doc_id"]) & (rows["row_key"] == other["text_key"])
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """True for the fold that no fit may see: crc32 of the id as text, remainder 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))

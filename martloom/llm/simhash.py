@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martloom.llm.common import staging, text_key
+from martloom.llm.common import as_rows, same_document, staging, text_key
 from martloom.llm.components import components
 from martloom.sources.staging import Staging
 
@@ -193,20 +193,10 @@ def one_of_each(documents: DataFrame, shingle_words: int = 5, distance: int = 3)
     copies = rows.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies"))
     same = kept["doc_id"].eqNullSafe(copies["doc_id"]) & (kept["text_key"] == copies["text_key"])
     kept = store.save(
-        "kept",
-        kept.join(copies, same).select(
-            kept["doc_id"].alias("_id"), kept["text_key"].alias("_key"), F.col("copies").alias("_n")
-        ),
+        "kept", kept.join(copies, same).select(kept["doc_id"], kept["text_key"], "copies")
     )
-    names = documents.columns
-    found = documents.join(
-        kept,
-        documents["doc_id"].eqNullSafe(F.col("_id"))
-        & (text_key(documents["text"]) == F.col("_key")),
-    )
-    alone = found.filter(F.col("_n") == 1).select(*[documents[c] for c in names])
-    repeated = found.filter(F.col("_n") > 1)
-    repeated = repeated.select(*[documents[c] for c in names], "_id", "_key").dropDuplicates(
-        ["_id", "_key"]
-    )
-    return alone.unionAll(repeated.select(*names))
+    rows = as_rows(documents)
+    found = rows.join(kept, same_document(rows, kept))
+    alone = found.filter(F.col("copies") == 1).select("row")
+    repeated = found.filter(F.col("copies") > 1).dropDuplicates(["row_id", "row_key"]).select("row")
+    return alone.unionAll(repeated).select("row.*")
