@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from martloom.llm.common import LOWER, UPPER, staging, text_key
+from martloom.llm.common import LOWER, UPPER, as_rows, same_document, staging, text_key
 from martloom.sources.staging import Staging
 
 WINDOW = 10
@@ -106,10 +106,6 @@ def build_index(store: Staging, documents: DataFrame, terms: DataFrame) -> DataF
 _DOC = ("doc_id", "text_key")
 
 
-def _same_document(left: DataFrame, right: DataFrame) -> Column:
-    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_key"] == right["text_key"])
-
-
 def _bucket() -> Column:
     return F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(BUCKETS))
 
@@ -150,13 +146,14 @@ def phrase_matches(store: Staging, index: DataFrame, items: Items) -> DataFrame:
     )
     both = store.save("both", both.distinct())  # repeated document rows match twice
     rest = ranked.filter(F.col("rank") > 2)
+    rest_terms = store.save("rest_terms", rest.select("term_id").distinct())
     hoped = both.filter(F.col("size") > 2).join(rest.select("window_id", "offset", "term_id"), "window_id")
     hoped = hoped.select(*match, "size", (F.col("start") + F.col("offset")).alias("position"), "term_id")
     buckets = both.filter(F.col("size") > 2).select(_bucket().alias("bucket")).distinct()
     lists = (
         index.withColumn("bucket", _bucket())
         .join(F.broadcast(buckets), "bucket", "left_semi")
-        .join(rest.select("term_id").distinct(), "term_id", "left_semi")
+        .join(rest_terms, "term_id", "left_semi")
         .select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"),
                 F.col("position").alias("_position"), F.col("term_id").alias("_term_id"))
     )
@@ -247,13 +244,7 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFram
     store = staging(documents.sparkSession)
     items = benchmark_windows(store, benchmark)
     index = build_index(store, documents, items.terms)
-    bad = phrase_matches(store, index, items).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")
-    )
-    bad = store.save("contaminated", bad.distinct())
-    return documents.join(
-        bad,
-        documents["doc_id"].eqNullSafe(F.col("_id"))
-        & (text_key(documents["text"]) == F.col("_key")),
-        "left_anti",
-    )
+    bad = phrase_matches(store, index, items).select("doc_id", "text_key").distinct()
+    bad = store.save("contaminated", bad)
+    rows = as_rows(documents)
+    return rows.join(bad, same_document(rows, bad), "left_anti").select("row.*")
