@@ -18,14 +18,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from martloom.llm.common import ASCII_SPACE, split_words, staging, text_key
+from martloom.llm.common import (
+    ASCII_SPACE,
+    as_rows,
+    same_document,
+    split_words,
+    staging,
+    text_key,
+)
 
 # Lines of fewer words are compared for equality only.
 NEAR_WORDS = 8
 # Bits of a hash of (word, place): sums over a million words stay below 2^63.
 SUM_BITS = 42
-# Most numbers in the broadcast set that thins out documents before a join.
-BUCKETS = 1 << 18
+# Most numbers in a broadcast set that thins out rows before a join.
+BUCKETS = 1 << 20
 
 
 def _order() -> Column:
@@ -60,44 +67,46 @@ def _halves() -> Column:
     return F.when(n >= NEAR_WORDS, F.array_distinct(F.array(*keys)))
 
 
-def _bucket() -> Column:
-    return F.pmod(F.xxhash64(F.lit("bucket"), "key"), F.lit(BUCKETS))
+def _thinned(rows: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
+    """The rows whose key may be among the keys (one column) of `wanted`: all that are, and some
+    others. What is broadcast is at most BUCKETS numbers."""
+    bucket = F.pmod(key, F.lit(BUCKETS))
+    buckets = wanted.select(F.pmod(wanted[wanted.columns[0]], F.lit(BUCKETS)).alias("bucket"))
+    hopeful = rows.withColumn("bucket", bucket)
+    return hopeful.join(F.broadcast(buckets.distinct()), "bucket", "left_semi").drop("bucket")
 
 
 def _variants(words: DataFrame) -> DataFrame:
-    """(key, check, first, n, at, v, w) of each line's variants: `at` is the word left out, or
-    -1 for the whole line; v and w are two sums over what is left."""
-    one = words.select(
+    """(first, left, at, group, place) of each line's variants. `at` is the word left out, -1 for
+    the whole line, `left` the number of words left; equal variants have equal groups, and equal
+    places if the same place was left out, too."""
+    # one line's words stay in the partition of the line: the windows need no shuffle
+    one = words.repartition("key", "check").select(
         "key", "check", "first", F.size("line_words").alias("n"),
         F.posexplode("line_words").alias("at", "word"),
     )
-
-    def part(name: str, place: Column) -> Column:
-        bits = F.lit((1 << SUM_BITS) - 1)
-        return F.xxhash64(F.lit(name), "word", place).bitwiseAND(bits)
-
     line = Window.partitionBy("key", "check").orderBy("at")
     before = line.rowsBetween(Window.unboundedPreceding, -1)
     until = line.rowsBetween(Window.unboundedPreceding, 0)
     all_words = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    names = ("v", "w")
-    for name in names:
-        one = one.withColumn(f"_{name}", part(name, F.col("at")))
-        one = one.withColumn(f"_{name}1", part(name, F.col("at") - 1))
-    sums = [
-        (
-            F.coalesce(F.sum(f"_{name}").over(before), F.lit(0))
-            + F.sum(f"_{name}1").over(all_words)
-            - F.sum(f"_{name}1").over(until)
-        ).alias(name)
-        for name in names
-    ]
-    out = one.select("key", "check", "first", "n", "at", *sums)
-    whole = one.groupBy("key", "check").agg(
-        F.first("first").alias("first"), F.first("n").alias("n"), F.lit(-1).alias("at"),
-        *[F.sum(f"_{name}").alias(name) for name in names],
-    )
-    return out.unionByName(whole)
+    sums, wholes = [], []
+    for name in ("v", "w"):
+
+        def part(place: Column, name: str = name) -> Column:
+            bits = F.lit((1 << SUM_BITS) - 1)
+            return F.xxhash64(F.lit(name), "word", place).bitwiseAND(bits)
+
+        here, moved = part(F.col("at")), part(F.col("at") - 1)
+        left_of = F.coalesce(F.sum(here).over(before), F.lit(0))
+        sums.append(left_of + F.sum(moved).over(all_words) - F.sum(moved).over(until))
+        wholes.append(F.sum(here).over(all_words))
+    whole = F.struct(F.lit(-1).alias("at"), F.col("n").alias("left"), F.xxhash64("n", *wholes).alias("group"))
+    left = F.col("n") - 1
+    without = F.struct("at", left.alias("left"), F.xxhash64(left, *sums).alias("group"))
+    # the first word also stands for the whole line
+    both = F.when(F.col("at") == 0, F.array(whole, without)).otherwise(F.array(without))
+    made = one.select("first", both.alias("both")).select("first", F.explode("both").alias("v"))
+    return made.select("first", "v.*", F.xxhash64("v.group", "v.at").alias("place"))
 
 
 def _without(words: Column, at: Column) -> Column:
@@ -107,7 +116,8 @@ def _without(words: Column, at: Column) -> Column:
 def dropped_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_key, line_no, n_words, key, check) of all lines, and the same of those that
     an earlier line makes superfluous. Lines without a word are never dropped; a document
-    without lines has one such line. Other columns are not looked at."""
+    without lines has one such line. A repeated row repeats its lines in both. Other columns are
+    not looked at."""
     store = staging(documents.sparkSession)
     n = F.size("line_words")
     lines = store.save(
@@ -123,92 +133,85 @@ def dropped_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         "distinct",
         lines.filter(F.col("n_words") > 0)
         .groupBy("key", "check")
-        .agg(
-            F.min(_order()).alias("first"), F.count(F.lit(1)).alias("copies"),
-            F.first("halves").alias("halves"),
-        ),
-    )
-
-    # lines that share a half with another line
-    halves = distinct.select("key", "check", F.explode("halves").alias("half"))
-    line = F.struct("key", "check")
-    shared = store.save(
-        "shared",
-        halves.groupBy("half")
-        .agg(F.min(line).alias("low"), F.max(line).alias("high"))
-        .filter(F.col("low") != F.col("high"))
-        .select("half"),
-    )
-    likely = store.save(
-        "likely", halves.join(shared, "half", "left_semi").select("key", "check").distinct()
+        .agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("copies")),
     )
 
-    # their words, from where each line stands first; the set of buckets is at most BUCKETS
-    # numbers and only thins out what is shuffled
-    firsts = store.save(
-        "firsts", distinct.select("key", "check", "first").join(likely, ["key", "check"], "left_semi")
-    )
-    buckets = firsts.select(_bucket().alias("bucket")).distinct()
-    here = lines.filter(F.col("n_words") >= NEAR_WORDS).withColumn("bucket", _bucket())
-    here = here.join(F.broadcast(buckets), "bucket", "left_semi")
+    # lines that share a half with another line
+    halves = lines.select("key", F.explode("halves").alias("half"))
+    shared = halves.groupBy("half").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    shared = store.save("shared", shared.filter(F.col("low") != F.col("high")).select("half"))
+    likely = _thinned(halves, F.col("half"), shared).join(shared, "half", "left_semi")
+    likely = store.save("likely", likely.select("key").distinct())
+
+    # their words, from where each line stands first
+    here = _thinned(lines.filter(F.col("n_words") >= NEAR_WORDS), F.col("key"), likely)
+    firsts = _thinned(distinct, F.col("key"), likely).join(likely, "key", "left_semi")
     words = store.save(
         "words",
         here.select("key", "check", _order().alias("first"), "line")
-        .join(firsts, ["key", "check", "first"], "left_semi")
+        .join(firsts.select("key", "check", "first"), ["key", "check", "first"], "left_semi")
         .dropDuplicates(["key", "check"])
         .select("key", "check", "first", split_words(F.col("line")).alias("line_words")),
     )
 
+    # variants that are not alone: counting needs their keys only
     variants = store.save("variants", _variants(words))
     whole, without = F.col("at") < 0, F.col("at") >= 0
-    left = (F.col("n") - without.cast("int")).alias("left")
-    variants = variants.select("*", left)
+    keys = F.when(without, F.array("group", "place")).otherwise(F.array("group"))
+    keys = variants.select(F.explode(keys).alias("shared_key"))
+    met = keys.groupBy("shared_key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    met = store.save("met", met.select("shared_key"))
     # one word replaced: the same place left out of both
-    place = ["v", "w", "left", "at"]
-    me = F.struct("first", "key", "check").alias("me")
-    replaced = variants.filter(without).groupBy(place).agg(F.min(me).alias("other"), F.count(F.lit(1)).alias("c"))
-    replaced = store.save("replaced", replaced.filter(F.col("c") > 1).drop("c"))
+    replaced = _thinned(variants.filter(without), F.col("place"), met)
+    replaced = store.save("replaced", replaced.select("first", "at", "group", "place"))
+    least = replaced.groupBy("place").agg(F.min("first").alias("other"), F.count(F.lit(1)).alias("n"))
+    least = store.save("least", least.filter(F.col("n") > 1).select("place", "other"))
     # one word more or less: a whole line equals another with a word left out
-    role = ["v", "w", "left"]
-    added = variants.groupBy(role).agg(
-        F.min(F.when(whole, F.struct("first", "key", "check"))).alias("short"),
-        F.min(F.when(without, F.struct("first", "key", "check", "at"))).alias("long"),
+    added = store.save("added", _thinned(variants, F.col("group"), met).select("first", "at", "group"))
+    roles = added.groupBy("group").agg(
+        F.min(F.when(whole, F.col("first"))).alias("short"),
+        F.min(F.when(without, F.struct("first", "at"))).alias("long"),
     )
-    added = store.save("added", added.filter(F.col("short").isNotNull() & F.col("long").isNotNull()))
-    mine = ["key", "check", "first", "at"]
-    pairs = [
-        variants.filter(without).join(replaced, place).select(*mine, "other", F.col("at").alias("other_at")),
-        variants.filter(without).join(added, role).select(*mine, F.col("short").alias("other"), F.lit(-1).alias("other_at")),
-        variants.filter(whole).join(added, role).select(
-            *mine, F.struct("long.first", "long.key", "long.check").alias("other"), F.col("long.at").alias("other_at")
-        ),
-    ]
-    earlier = pairs[0].unionByName(pairs[1]).unionByName(pairs[2])
-    earlier = earlier.filter(F.col("other.first") < F.col("first")).select(
-        "key", "check", "at", F.col("other.key").alias("_key"), F.col("other.check").alias("_check"), "other_at"
+    roles = store.save("roles", roles.filter(F.col("short").isNotNull() & F.col("long").isNotNull()))
+    mine = ["first", "at"]
+    met_by = added.join(roles, "group")
+    earlier = (
+        replaced.join(least, "place")
+        .select(*mine, "other", F.col("at").alias("other_at"))
+        .unionByName(
+            met_by.filter(without).select(*mine, F.col("short").alias("other"), F.lit(-1).alias("other_at"))
+        )
+        .unionByName(
+            met_by.filter(whole).select(*mine, F.col("long.first").alias("other"), F.col("long.at").alias("other_at"))
+        )
+        .filter(F.col("other") < F.col("first"))
     )
-    a = words.select("key", "check", F.col("line_words").alias("mine"))
-    b = words.select(F.col("key").alias("_key"), F.col("check").alias("_check"), F.col("line_words").alias("others"))
+    earlier = store.save("earlier", earlier)
 
     def rest(column: str, at: str) -> Column:
-        return F.when(F.col(at) < 0, F.col(column)).otherwise(_without(F.col(column), F.greatest(F.col(at), F.lit(0))))
+        left = _without(F.col(column), F.greatest(F.col(at), F.lit(0)))
+        return F.when(F.col(at) < 0, F.col(column)).otherwise(left)
 
+    mine = words.select("key", "check", "first", F.col("line_words").alias("mine"))
+    others = words.select(F.col("first").alias("other"), F.col("line_words").alias("others"))
     near = (
-        earlier.join(a, ["key", "check"])
-        .join(b, ["_key", "_check"])
+        earlier.join(mine, "first")
+        .join(others, "other")
         .filter(rest("mine", "at") == rest("others", "other_at"))
         .select("key", "check", F.lit(True).alias("near"))
         .distinct()
     )
     near = store.save("near", near)
 
-    repeated = distinct.select("key", "check", "first", "copies").join(near, ["key", "check"], "left")
+    repeated = distinct.join(near, ["key", "check"], "left")
     repeated = store.save("repeated", repeated.filter((F.col("copies") > 1) | F.col("near")))
-    gone = lines.join(repeated, ["key", "check"]).filter(
-        F.coalesce("near", F.lit(False)) | (_order() != F.col("first"))
-    )
     columns = ["doc_id", "text_key", "line_no", "n_words", "key", "check"]
-    return lines.select(columns), store.save("gone", gone.select(columns).distinct())
+    placed = lines.select(columns)
+    gone = _thinned(placed, F.col("key"), repeated.select("key")).join(repeated, ["key", "check"])
+    gone = gone.filter(F.coalesce("near", F.lit(False)) | (_order() != F.col("first")))
+    # not made distinct: that would tie the join to its keys, and a line of a third of all
+    # documents could not be split
+    return placed, store.save("gone", gone.select(columns))
 
 
 def line_report(documents: DataFrame) -> DataFrame:
@@ -221,9 +224,10 @@ def line_report(documents: DataFrame) -> DataFrame:
     counted = lines.groupBy(key).agg(
         (F.sum((F.col("n_words") > 0).cast("long")) / rows).cast("long").alias("n_lines")
     )
-    numbers = F.transform(F.array_sort(F.collect_list("line_no")), lambda n: n.cast("string"))
+    taken = F.array_sort(F.collect_set("line_no"))
+    numbers = F.transform(taken, lambda n: n.cast("string"))
     dropped = gone.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
-        F.count(F.lit(1)).alias("n_dropped"), F.array_join(numbers, ",").alias("dropped_lines")
+        F.size(taken).alias("n_dropped"), F.array_join(numbers, ",").alias("dropped_lines")
     )
     same = counted["doc_id"].eqNullSafe(dropped["_id"]) & (counted["text_key"] == dropped["_key"])
     return counted.join(dropped, same, "left").select(
@@ -242,31 +246,18 @@ def without_repeated_lines(documents: DataFrame) -> DataFrame:
     """
     store = staging(documents.sparkSession)
     _, gone = dropped_lines(documents)
-    dropped = store.save(
-        "dropped",
-        gone.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
-            F.collect_set("line_no").alias("_gone")
-        ),
-    )
-    found = documents.join(
-        dropped,
-        documents["doc_id"].eqNullSafe(F.col("_id"))
-        & (text_key(documents["text"]) == F.col("_key")),
-        "left",
-    ).select(*[documents[c].alias(f"c{i}") for i, c in enumerate(documents.columns)], "_gone")
-    text = F.col(f"c{documents.columns.index('text')}")
-    left = F.array_join(
-        F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), i)), "\n"
-    )
-    new = found.select("*", F.when(F.col("_gone").isNull(), text).otherwise(left).alias("_new"))
-    shown = []
-    for i, c in enumerate(documents.columns):
-        column = F.col(f"c{i}")
-        if c == "text":
-            column = F.col("_new")
-        elif c == "n_chars":
-            kind = documents.schema[c].dataType
-            column = F.when(F.col("_gone").isNull(), column).otherwise(F.length("_new").cast(kind))
-        shown.append(column.alias(c))
-    kept = F.col("_gone").isNull() | F.col("_new").rlike(f"[^{ASCII_SPACE}]")
-    return new.select(F.inline(F.when(kept, F.array(F.struct(*shown)))))
+    dropped = gone.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone"))
+    dropped = store.save("dropped", dropped)
+    rows = as_rows(documents)
+    found = rows.join(dropped, same_document(rows, dropped), "left")
+    text = F.col("row.text")
+    left = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(F.col("gone"), i))
+    touched = F.col("gone").isNotNull()
+    new = found.select("row", "gone", F.when(touched, F.array_join(left, "\n")).otherwise(text).alias("new"))
+    shown = {c: F.col("row")[c] for c in documents.columns} | {"text": F.col("new")}
+    if "n_chars" in shown:
+        size = F.length("new").cast(documents.schema["n_chars"].dataType)
+        shown["n_chars"] = F.when(touched, size).otherwise(shown["n_chars"])
+    kept = ~touched | F.col("new").rlike(f"[^{ASCII_SPACE}]")
+    row = F.struct(*[column.alias(c) for c, column in shown.items()])
+    return new.select(F.inline(F.when(kept, F.array(row))))
