@@ -69,11 +69,17 @@ def _halves() -> Column:
 
 def _thinned(rows: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
     """The rows whose key may be among the keys (one column) of `wanted`: all that are, and some
-    others. What is broadcast is at most BUCKETS numbers."""
-    bucket = F.pmod(key, F.lit(BUCKETS))
-    buckets = wanted.select(F.pmod(wanted[wanted.columns[0]], F.lit(BUCKETS)).alias("bucket"))
-    hopeful = rows.withColumn("bucket", bucket)
-    return hopeful.join(F.broadcast(buckets.distinct()), "bucket", "left_semi").drop("bucket")
+    others. Keys are hashes, so two parts of their bits are as good as two hashes of them. What
+    is broadcast is twice at most BUCKETS numbers."""
+    for first_bit in (0, 24):
+
+        def bucket(hashed: Column, first_bit: int = first_bit) -> Column:
+            return F.pmod(F.shiftright(hashed, first_bit), F.lit(BUCKETS)).alias("bucket")
+
+        buckets = wanted.select(bucket(wanted[wanted.columns[0]])).distinct()
+        hopeful = rows.withColumn("bucket", bucket(key))
+        rows = hopeful.join(F.broadcast(buckets), "bucket", "left_semi").drop("bucket")
+    return rows
 
 
 def _variants(words: DataFrame) -> DataFrame:
