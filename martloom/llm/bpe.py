@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 # Stands for the mark of a word's end, outside the 256 byte characters.
 END = "Ā"
 # Chunks of a text that a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 LONGEST_REMEMBERED = 64
 
 # Chunks of these characters are normalised and cut here; all others by the library's parts.
