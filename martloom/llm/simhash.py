@@ -10,6 +10,9 @@ Its fingerprints are linked exactly through the fingerprints around them: two of
 two bits of each other have a common neighbour one bit away, so those that share a neighbour
 are a star. That is linear in the members of the key, and loses no link. For larger distances
 the stars are those of neighbours up to half the distance away.
+
+A distance of a few bits stands for a similarity far above 0.8. `one_of_each` therefore also
+links the documents that `resemblance` finds.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martloom.llm import resemblance
 from martloom.llm.common import as_rows, same_document, staging, text_key
 from martloom.llm.components import components
 from martloom.sources.staging import Staging
@@ -36,48 +40,77 @@ BUCKETS = 1 << 20
 BLOCK = 1 << 16
 
 
-def fingerprint_of(words: list[bytes], shingle_words: int) -> int:
-    """SimHash of a list of words: a bit is 1 if set in over half of the shingles' hashes."""
+def shingle_hashes(words: list[bytes], shingle_words: int) -> np.ndarray:
+    """Hashes of the shingles of a list of words, repeated ones too."""
     from xxhash import xxh64_intdigest
 
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     if len(words) < shingle_words:
         shingles, count = [b" ".join(words)], 1
     else:
         count = len(words) - shingle_words + 1
         shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle_words)), strict=False))
-    hashes = np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), np.uint64, count)
+    return np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), np.uint64, count)
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """SimHash of the hashes of shingles: a bit is 1 if set in over half of them."""
     ones = np.zeros(BITS, np.int64)
-    for start in range(0, count, BLOCK):
+    for start in range(0, len(hashes), BLOCK):
         part = hashes[start : start + BLOCK].astype("<u8", copy=False)
         bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > count, bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(documents: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """(doc_id, text_key, fp) of every row; fp is the fingerprint as a signed long.
+def fingerprints(
+    documents: DataFrame, shingle_words: int = 3, resembling: bool = False
+) -> DataFrame:
+    """(doc_id, text_key, fp) of every row; fp is the fingerprint as a signed long. If asked for,
+    also (set_key, n_shingles, bands), what `resemblance` needs.
 
     A-Z is lower-cased, words are `[^\\x20\\x09-\\x0D]+`. A text of fewer words than a shingle
     is one shingle, a text without words and a null text have fingerprint 0.
     """
 
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, sets = [], []
+            for text in batch.column("text").cast(pa.binary()).to_pylist():
+                hashes = shingle_hashes(text.lower().split() if text else [], shingle_words)
+                found.append(fingerprint_of(hashes))
+                if resembling:
+                    sets.append(resemblance.summary(np.unique(hashes)))
+            signed = np.array(found, np.uint64).view(np.int64)
+            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(signed, pa.int64())]
+            names = ["doc_id", "text_key", "fp"]
+            if resembling:
+                kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()))
+                columns += [pa.array([s[i] for s in sets], kind) for i, kind in enumerate(kinds)]
+                names += ["set_key", "n_shingles", "bands"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    rows = documents.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    more = ", set_key bigint, n_shingles int, bands array<bigint>" if resembling else ""
+    return rows.mapInArrow(of_batches, f"doc_id {kind}, text_key bigint, fp bigint{more}")
+
+
+def shingle_sets(texts: DataFrame, shingle_words: int) -> DataFrame:
+    """(text_key, shingles) of (text_key, text): the distinct hashes of shingles, sorted, as bytes."""
+
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                fingerprint_of(text.lower().split() if text else [], shingle_words)
+                np.unique(shingle_hashes(text.lower().split() if text else [], shingle_words)).tobytes()
                 for text in batch.column("text").cast(pa.binary()).to_pylist()
             ]
-            signed = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(signed, pa.int64())],
-                ["doc_id", "text_key", "fp"],
+                [batch.column("text_key"), pa.array(found, pa.binary())], ["text_key", "shingles"]
             )
 
-    rows = documents.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(of_batches, f"doc_id {kind}, text_key bigint, fp bigint")
+    return texts.select("text_key", "text").mapInArrow(of_batches, "text_key bigint, shingles binary")
 
 
 def _segments(distance: int) -> list[tuple[int, int]]:
@@ -159,22 +192,32 @@ def links(store: Staging, fps: DataFrame, distance: int) -> DataFrame:
 
 
 def near_duplicates(
-    documents: DataFrame, shingle_words: int = 3, distance: int = 2
+    documents: DataFrame, shingle_words: int = 3, distance: int = 2, resembling: bool = False
 ) -> DataFrame:
     """(doc_id, text_key, fp, component_id, copies_of_row) of every row of `documents`.
 
-    Rows whose fingerprints differ by `distance` bits or fewer are linked; component_id is the
+    Rows whose fingerprints differ by `distance` bits or fewer are linked, and if asked for, also
+    those whose sets of shingles are as similar as `resemblance` demands; component_id is the
     smallest doc_id that links reach, the row's own included. Rows without an id take part and
     get the smallest id of their component, null if none has one. Repeated rows stay. Other
     columns are not looked at.
     """
     store = staging(documents.sparkSession)
-    rows = store.save("fingerprints", fingerprints(documents, shingle_words))
+    rows = store.save("fingerprints", fingerprints(documents, shingle_words, resembling))
     fps = store.save("distinct", rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     found = components(store, links(store, fps.select("fp"), distance))
     rooted = fps.join(found, fps["fp"] == found["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
+    if resembling:
+        rooted = store.save("rooted", rooted)
+        texts = documents.select(text_key(F.col("text")).alias("text_key"), "text")
+        pairs = resemblance.candidates(store, rows, rooted.select("fp", "root"))
+        more = resemblance.links(store, pairs, texts, lambda t: shingle_sets(t, shingle_words))
+        merged = components(store, more).withColumnRenamed("root", "merged")
+        rooted = rooted.join(merged, rooted["root"] == merged["node"], "left").select(
+            "fp", "first_id", F.coalesce("merged", "root").alias("root")
+        )
     first = store.save(
         "first", rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     )
@@ -183,11 +226,12 @@ def near_duplicates(
 
 
 def one_of_each(documents: DataFrame, shingle_words: int = 5, distance: int = 3) -> DataFrame:
-    """The documents without near duplicates: of each component the row with the smallest id
+    """The documents without near duplicates, those of a Jaccard similarity of 0.8 or more
+    included: of each component the row with the smallest id
     stays, of rows without an id the one with the smallest text key, and one of repeated rows.
     All columns stay as they are."""
     store = staging(documents.sparkSession)
-    rows = store.save("components", near_duplicates(documents, shingle_words, distance))
+    rows = store.save("components", near_duplicates(documents, shingle_words, distance, True))
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
     kept = rows.groupBy("root").agg(F.min(order).alias("kept")).select("kept.doc_id", "kept.text_key")
     copies = rows.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies"))
