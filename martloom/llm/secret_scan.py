@@ -8,8 +8,10 @@ score of a token is how strongly randomness is rejected.
 
 A low score alone is no proof, and the more tokens a corpus has, the more low scores there are
 by chance. Ordinary long words, letters of one case alone, show how often: of the words of the
-same length class, the share with a score as low is the p-value of a token, and the
-Benjamini-Hochberg rule, applied to each length class over the whole corpus, sets the score up to
+same length class, the share with a score as low is the p-value of a token. A corpus may have few
+such words or none, so a fixed reference stands beside them and weighs as much as 1/share of them:
+scores of words made up from the frequencies of letters, at the lower end of the class, where
+scores are lowest. The Benjamini-Hochberg rule, applied to each length class over the whole corpus, sets the score up to
 which tokens are reported so that the expected share of false ones stays below a bound. Only
 counts per length class and score, a few hundred numbers at any size, come to the driver.
 """
@@ -17,8 +19,10 @@ counts per length class and score, a few hundred numbers at any size, come to th
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -42,6 +46,13 @@ BINS = 9
 # Score steps per decade of the combined p-value, and the highest score kept apart.
 STEPS, HIGHEST = 10, 300
 FALSE_SHARE = 0.01
+# Letters in 1000 of ordinary text, rounded from English, German, French and
+# Spanish; how many words of each length class are made up from them, and the seed.
+LETTERS = {
+    "e": 151, "a": 87, "n": 77, "s": 73, "i": 74, "r": 66, "t": 67, "o": 61, "l": 47, "d": 45, "u": 46, "c": 34,
+    "m": 28, "h": 32, "p": 23, "g": 19, "b": 16, "f": 14, "v": 13, "w": 11, "y": 9, "q": 6, "k": 7, "z": 6, "j": 4, "x": 3,
+}
+MADE_UP, MADE_UP_SEED = 2000, 42
 
 _HEX = "0123456789abcdef"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -170,27 +181,46 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@lru_cache
+def reference(size: int) -> tuple[float, ...]:
+    """Share of made-up words of `size` letters that score at most each step. Beyond what so few
+    words can show, a normal curve through their scores carries the share on."""
+    draw = random.Random(MADE_UP_SEED)
+    letters, weights = list(LETTERS), list(LETTERS.values())
+    made = ["".join(draw.choices(letters, weights, k=size)) for _ in range(MADE_UP)]
+    rated = [score(word, "random_base64") for word in made]
+    mean = sum(rated) / MADE_UP
+    spread = math.sqrt(sum((x - mean) ** 2 for x in rated) / MADE_UP)
+    counts = [0] * (HIGHEST + 1)
+    for x in rated:
+        counts[x] += 1
+    shares, low = [], 0
+    for step in range(HIGHEST + 1):
+        low += counts[step]
+        normal = math.erfc((mean - step - 0.5) / (spread * math.sqrt(2))) / 2
+        shares.append(max(low / MADE_UP, normal))
+    return tuple(shares)
+
+
 def thresholds(counts: list[tuple[int, bool, int, int]], share: float = FALSE_SHARE) -> dict[int, int]:
     """Highest reported score of each length class, -1 for none, from (length class, is word,
-    score, count). A class without words is compared with the words of all classes."""
+    score, count)."""
     words: dict[int, dict[int, int]] = {}
     tokens: dict[int, dict[int, int]] = {}
-    everything: dict[int, int] = {}
     for size, is_word, rated, count in counts:
         kept = (words if is_word else tokens).setdefault(size, {})
         kept[rated] = kept.get(rated, 0) + count
-        if is_word:
-            everything[rated] = everything.get(rated, 0) + count
     found = {}
+    weight = 1 / share
     for size, rated in tokens.items():
-        null = words.get(size) or everything
+        null, made_up = words.get(size, {}), reference(size)
         total, nulls = sum(rated.values()), sum(null.values())
         seen = low = 0
         found[size] = -1
         for step in range(HIGHEST + 1):
             seen += rated.get(step, 0)
             low += null.get(step, 0)
-            p = (low + 1) / (nulls + 1)
+            p = (low + weight * made_up[step]) / (nulls + weight)
             if rated.get(step) and p <= share * seen / total:
                 found[size] = step
     return found
