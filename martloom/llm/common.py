@@ -63,7 +63,8 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
 def labelled_sample(
     documents: DataFrame, labels: DataFrame, label: str, most: int, folds: int = 5
 ) -> DataFrame:
-    """(doc_id, text, label) of at most `most` labelled rows outside the held-out fold.
+    """(doc_id, text, label) of at most `most` labelled rows outside the held-out fold. Of rows that
+    share an id, the one with the smallest text key is taken.
 
     The rows are those with the smallest hash of their id, so any size of input gives the
     same kind of sample. A label of neither 0 nor 1 is left out. The chosen ids are at most
@@ -78,4 +79,7 @@ def labelled_sample(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # least rows are found before the shuffle: a hot id sends one row from each task
+    one = F.min(F.struct(text_key(F.col("text")).alias("text_key"), "text", "label")).alias("one")
+    return rows.groupBy("doc_id").agg(one).select("doc_id", "one.text", "one.label")
