@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 from martloom.llm import (
     bpe,
+    conversation_repair,
     decontamination,
     fixity,
     line_dedup,
+    mixing,
     quality,
     repair,
     secret_scan,
     simhash,
     toxicity,
     url_filter,
+    whitening,
 )
 from martloom.llm.common import read_table, staging, vocabulary_path
 
@@ -152,6 +155,24 @@ def op2_decontamination_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by a rule, and their cheapest repair."""
+    conversations = read_table(spark, sf_dir, "conversations")
+    return conversation_repair.repaired(conversation_repair.damaged(conversations))
+
+
+def op12_mix_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words a mix of all sources by weight takes of every document."""
+    return mixing.mixed(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened scores of every embedding on the eight leading components."""
+    return whitening.whitened(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity_grammar": op1_toxicity_grammar,
     "op2_decontamination_index": op2_decontamination_index,
@@ -163,6 +184,9 @@ QUERIES: dict[str, Query] = {
     "op8_url_lists": op8_url_lists,
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe_backtracking": op10_bpe_backtracking,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_mix_weights": op12_mix_weights,
+    "op13_feast_whitening": op13_feast_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -198,6 +222,47 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(listed, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op12_mix_weights": r"""
+        WITH RECURSIVE measured AS (
+            SELECT doc_id, source, text,
+                   len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                                   lambda x: x <> '')) AS size,
+                   ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '?')
+                       || CASE WHEN text IS NULL THEN '?' ELSE ':' END || coalesce(text, '')), 1, 15)
+                   )::BIGINT AS key
+            FROM documents),
+        sources AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+                        WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight
+            FROM measured GROUP BY source),
+        levels AS (
+            SELECT 0 AS round, sum(source_size)::DOUBLE / sum(weight) AS level FROM sources
+            UNION ALL
+            SELECT round + 1, next FROM (
+                SELECT round, any_value(level) AS level,
+                       (sum(source_size)::DOUBLE
+                        - coalesce(sum(CASE WHEN weight * level >= 3 * source_size THEN 3 * source_size END), 0))
+                       / sum(CASE WHEN weight * level >= 3 * source_size THEN NULL ELSE weight END) AS next
+                FROM levels, sources GROUP BY round)
+            WHERE next > level),
+        planned AS (
+            SELECT source, source_size, least(weight * top, (3 * source_size)::DOUBLE) AS target
+            FROM sources, (SELECT max(level) AS top FROM levels)),
+        summed AS (
+            SELECT doc_id, size, source_size, target,
+                   CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
+                   sum(size) OVER (PARTITION BY m.source ORDER BY key
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS until
+            FROM measured m JOIN planned p ON m.source IS NOT DISTINCT FROM p.source)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+               CAST(size * (whole + CASE
+                   WHEN target - whole * source_size > 0
+                        AND (until <= target - whole * source_size
+                             OR (until - size <= target - whole * source_size
+                                 AND (target - whole * source_size - (until - size)) * 2 >= size))
+                   THEN 1 ELSE 0 END) AS BIGINT) AS taken
+        FROM summed""",
     "op7_fixity_audit": """
         WITH made AS (
             SELECT page_id, CAST(floor(page_id / 1000) AS BIGINT) AS file, html,
