@@ -2,17 +2,33 @@
 
 A text file is split between tasks, and a split may start inside a quoted field. What a line does
 to that is one of two answers for each of two cases: whether it ends inside a field, if it starts
-outside of one and if it starts inside. So it either decides the state by itself, keeps it, or
-turns it over. Lines add up over a split, splits over a file, and then every line knows where it
-starts. A quote opens a field only at the field's beginning; elsewhere in a plain field it is text.
+outside of one and if it starts inside. A split is read for both cases at once, side by side until
+they come together, which they do at the first line break that is outside of a field in both.
+So a split has a summary of two cases, worked out where it is read: where each case ends, and the
+pieces of records that cross its borders. Summaries, one row per split, add up over a file and say
+which case is true; then the splits are read again and each task puts its records together by
+itself. Lines are neither written nor shuffled on the way, only the pieces at borders are.
+
+A quote opens a field only at the field's beginning; elsewhere in a plain field it is text.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable, Iterator
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from martloom.sources.staging import Staging
 
+# What runs on workers travels with its job: they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Longest record, in characters. A quote that is closed by accident much later would make one.
 RECORD_LIMIT = 1 << 24
 
@@ -22,150 +38,378 @@ _FIELD = rf'(?:"{_INSIDE}"[^,]*+|(?:[^",][^,]*+)?)'
 OPENS = rf'^(?:{_FIELD},)*+"{_INSIDE}\z'
 STAYS_OPEN = rf'^{_INSIDE}(?:\z|"[^,]*+,(?:{_FIELD},)*+"{_INSIDE}\z)'
 
+# Lines of one file that are looked at before all lines are.
+_FIRST_LINES = 1000
+
+_SPLIT = ["file", "split", "size"]
+_SPLIT_TYPES = "file string, split long, size long"
+_MARKS = (pa.string(), pa.int64(), pa.int64(), pa.int32())
+
 
 def _lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """Lines with their file, split and position; positions grow along a split and never
-    repeat."""
-    return (
+    """Lines with their split (file, start and size in bytes) and position; positions grow along a
+    split and never repeat in one scan. Lines without a quote are told apart cheaply."""
+    lines = (
         spark.read.option("pathGlobFilter", pattern)
         .text(path)
         .select(
             "value",
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("split"),
+            F.col("_metadata.file_block_length").alias("size"),
             F.monotonically_increasing_id().alias("position"),
         )
     )
-
-
-def _added_up(table: DataFrame, key: list[str], order: str) -> DataFrame:
-    """`table` with columns turns (0 or 1) and decides (0, 1 or NULL) gets what they come to
-    before and after each row: (since_before, turns_before), (since, turned). A state is
-    (since + turned) % 2, or (start + turned) % 2 while nothing has decided."""
-    rows = Window.partitionBy(*key).orderBy(order)
-    until = rows.rowsBetween(Window.unboundedPreceding, 0)
-    before = rows.rowsBetween(Window.unboundedPreceding, -1)
-    turned = table.withColumn("turned", F.sum("turns").over(until))
-    based = turned.withColumn("base", (F.col("decides") + F.col("turned")) % 2)
-    return based.withColumns(
+    quoted = F.col("value").contains('"')
+    return lines.withColumns(
         {
-            "since": F.last("base", ignorenulls=True).over(until),
-            "since_before": F.last("base", ignorenulls=True).over(before),
-            "turns_before": F.coalesce(F.sum("turns").over(before), F.lit(0)),
+            "opens": F.when(quoted, F.col("value").rlike(OPENS)).otherwise(False),
+            "stays": F.when(quoted, F.col("value").rlike(STAYS_OPEN)).otherwise(True),
         }
     )
 
 
-def _state(start: Column, since: str, turns: str) -> Column:
-    return (F.coalesce(F.col(since), start) + F.col(turns)) % 2
+def _after(inside: bool, opens: np.ndarray, stays: np.ndarray) -> np.ndarray:
+    """Whether each line ends inside a field, if the first one starts so or not. A line decides
+    that, keeps it, or turns it over."""
+    decides = np.where(opens == stays, np.arange(len(opens)), -1)
+    last = np.maximum.accumulate(decides)
+    turned = np.cumsum(opens & ~stays)
+    state = np.where(last >= 0, opens[last], inside)
+    return state ^ ((turned - np.where(last >= 0, turned[last], 0)) % 2 == 1)
+
+
+class _Case:
+    """A split as it reads if its first line starts outside a field, or inside of one."""
+
+    def __init__(self, inside: bool, limit: int) -> None:
+        self.inside = self.crossed = inside  # crossed: still in the record it began in
+        self.limit = limit
+        self.open: list[str] = []  # lines of the record that is not closed yet
+        self.size = self.longest = 0
+        self.head: str | None = None
+        self.head_size = 0
+
+    def _hold(self, lines: pa.Array, sizes: np.ndarray) -> None:
+        self.size += int(sizes.sum())
+        # a record over the limit is refused later, by its size
+        self.open = self.open + lines.to_pylist() if self.size <= self.limit else []
+
+    def _close(self) -> list[str]:
+        record, size = "\n".join(self.open), self.size
+        self.open, self.size = [], 0
+        if self.crossed:
+            self.crossed, self.head, self.head_size = False, record, size
+            return []
+        self.longest = max(self.longest, size)
+        return [record]
+
+    def read(self, lines: pa.Array, sizes: np.ndarray, after: np.ndarray) -> Iterator[pa.Array]:
+        """The records that end in these lines; `after` says which lines end inside a field."""
+        if not len(lines):
+            return
+        ends = np.flatnonzero(~after) + 1
+        was, self.inside = self.inside, bool(after[-1])
+        if not len(ends):
+            self._hold(lines, sizes)
+            return
+        start = 0
+        if was:
+            start = int(ends[0])
+            self._hold(lines.slice(0, start), sizes[:start])
+            yield pa.array(self._close(), lines.type)
+            ends = ends[1:]
+        if len(ends):
+            total = np.concatenate([[0], np.cumsum(sizes)])
+            cuts = np.concatenate([[start], ends])
+            self.longest = max(self.longest, int(np.diff(total[cuts]).max()))
+            whole = lines.slice(start, int(cuts[-1]) - start)
+            if len(whole) > len(ends):
+                joined = pa.ListArray.from_arrays(pa.array(cuts - start, pa.int32()), whole)
+                whole = pc.binary_join(joined, "\n")
+            yield whole
+            start = int(cuts[-1])
+        if self.inside:
+            self._hold(lines.slice(start), sizes[start:])
+
+
+class _Split:
+    """Both cases of one split. The first split of a file starts outside of a field."""
+
+    def __init__(self, first: bool, limit: int) -> None:
+        self.outside = _Case(False, limit)
+        self.within = None if first else _Case(True, limit)
+        self.apart = not first
+        self.longest = [0, 0]  # of each case until they came together
+
+    def read(self, lines: pa.Array, opens: np.ndarray, stays: np.ndarray) -> Iterator[tuple[int | None, pa.Array]]:
+        """(case, records) of some lines: 0 and 1 for one case alone, None once they are the same."""
+        sizes = pc.utf8_length(lines).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        after = _after(self.outside.inside, opens, stays)
+        done = 0
+        if self.apart:
+            other = _after(self.within.inside, opens, stays)
+            # the cases come together after a line that both of them end outside of a field
+            meet = np.flatnonzero(~after & ~other)
+            done = int(meet[0]) + 1 if len(meet) else len(lines)
+            for tag, case, state in ((0, self.outside, after), (1, self.within, other)):
+                for records in case.read(lines.slice(0, done), sizes[:done], state[:done]):
+                    yield tag, records
+            if len(meet):
+                self.apart = False
+                self.longest = [self.outside.longest, self.within.longest]
+                self.outside.longest = 0
+        for records in self.outside.read(lines.slice(done), sizes[done:], after[done:]):
+            yield None, records
+
+    def summary(self) -> dict[str, object]:
+        out: dict[str, object] = {}
+        for name, case in enumerate((self.outside, self.within or self.outside)):
+            # once the cases are the same, only one of them has been read further
+            end = case if self.apart else self.outside
+            open_text = "\n".join(end.open) if end.inside and not end.crossed else None
+            out |= {
+                f"end{name}": int(end.inside),
+                f"through{name}": end.crossed,
+                f"tail{name}": open_text,
+                f"tail_size{name}": end.size if end.inside else 0,
+                f"head{name}": case.head,
+                f"head_size{name}": case.head_size,
+                f"longest{name}": max(self.longest[name], end.longest),
+            }
+        return out
+
+
+_SUMMARY = "first string, " + ", ".join(
+    f"end{c} int, through{c} boolean, tail{c} string, tail_size{c} long, head{c} string, "
+    f"head_size{c} long, longest{c} long"
+    for c in "01"
+)
+
+
+def _by_split(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int, int], slice]]:
+    """Runs of rows of one split. A task reads its splits one after the other."""
+    if not batch.num_rows:
+        return
+    file, split = batch.column("file"), batch.column("split")
+    new = np.zeros(batch.num_rows, bool)
+    for column in (file, split):
+        differs = pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1))
+        new[1:] |= differs.to_numpy(zero_copy_only=False)
+    for a, b in pairwise([0, *np.flatnonzero(new).tolist(), batch.num_rows]):
+        yield (file[a].as_py(), split[a].as_py(), batch.column("size")[a].as_py()), slice(a, b)
+
+
+def _reader(emit: str, limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """mapInArrow function over lines: "summary" gives one row per split, "records" the records that
+    begin and end in a split, with the case they belong to, and one row per split without any."""
+
+    def summarise(key: tuple[str, int, int], split: _Split, first: str | None) -> pa.RecordBatch:
+        facts = dict(zip(_SPLIT, key, strict=True)) | {"first": first} | split.summary()
+        kinds = {n: pa.string() for n in ("first", "tail0", "tail1", "head0", "head1")}
+        ints = {n: pa.int32() for n in ("end0", "end1")}
+        columns = {n: pa.array([v], kinds.get(n) or ints.get(n)) for n, v in facts.items()}
+        return pa.RecordBatch.from_pydict(columns)
 
+    def made(records: pa.Array, key: tuple | None, case: int | None) -> pa.RecordBatch:
+        marks = [pa.scalar(v, t) for v, t in zip((*key, case) if key else [None] * 4, _MARKS, strict=True)]
+        columns = [pa.repeat(mark, len(records)) for mark in marks]
+        return pa.RecordBatch.from_arrays([*columns, records.cast(pa.string())], [*_SPLIT, "case", "record"])
 
-def _marked_lines(staging: Staging, lines: DataFrame) -> DataFrame:
-    """Lines with inside_before and inside_after: 1 if the line starts, or ends, in a field."""
-    opens = F.col("value").rlike(OPENS)
-    stays = F.col("value").rlike(STAYS_OPEN)
-    effects = lines.select("*", opens.cast("int").alias("opens"), stays.cast("int").alias("stays"))
-    effects = effects.select(
-        "value", "file", "split", "position",
-        (F.col("opens") > F.col("stays")).cast("int").alias("turns"),
-        F.when(F.col("opens") == F.col("stays"), F.col("opens")).alias("decides"),
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key: tuple[str, int, int] | None = None
+        split: _Split | None = None
+        first: str | None = None  # the first line of a file that is not empty
+        skip_header = False
+        for batch in batches:
+            values = batch.column("value")
+            opens = batch.column("opens").to_numpy(zero_copy_only=False).astype(bool)
+            stays = batch.column("stays").to_numpy(zero_copy_only=False).astype(bool)
+            for here, rows in _by_split(batch):
+                lines = values.slice(rows.start, rows.stop - rows.start)
+                if here != key:
+                    if emit == "summary" and split is not None:
+                        yield summarise(key, split, first)
+                    key, split, first = here, _Split(here[1] == 0, limit), None
+                    skip_header = here[1] == 0
+                    if emit == "records":
+                        yield made(pa.array([""], pa.string()), here, -1)
+                if emit == "summary" and here[1] == 0 and first is None:
+                    first = next((v for v in lines.to_pylist() if v), None)
+                for case, found in split.read(lines, opens[rows], stays[rows]):
+                    if skip_header:
+                        filled = found.filter(pc.not_equal(found, ""))
+                        found, skip_header = filled.slice(1), len(filled) == 0
+                    if len(found) and emit == "records":
+                        yield made(found, None if case is None else here, case)
+        if emit == "summary" and split is not None:
+            yield summarise(key, split, first)
+
+    return run
+
+
+def _true(name: str) -> Column:
+    """A column of the case that is true."""
+    return F.when(F.col("start") == 1, F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
+
+
+def _resolved(summaries: DataFrame) -> DataFrame:
+    """Splits, without texts: start and end are 1 if a split starts, or ends, inside a field, which
+    follows from the splits of the file before it. opened: the split, if a record starts in it that it
+    does not end; carried: where the record started that a split starts in."""
+    rows = Window.partitionBy("file").orderBy("split")
+    until = rows.rowsBetween(Window.unboundedPreceding, 0)
+    before = rows.rowsBetween(Window.unboundedPreceding, -1)
+    # a split decides the state, keeps it, or turns it over
+    turns = (F.col("end0") > F.col("end1")).cast("int")
+    decides = F.when(F.col("end0") == F.col("end1"), F.col("end0"))
+    turned = summaries.drop("head0", "head1", "tail0", "tail1").withColumn("turned", F.sum(turns).over(until))
+    based = turned.withColumn("base", (decides + F.col("turned")) % 2)
+    since = F.coalesce(F.last("base", ignorenulls=True).over(before), F.lit(0))
+    start = (since + F.coalesce(F.sum(turns).over(before), F.lit(0))) % 2
+    started = based.withColumn("start", start.cast("int"))
+    ended = started.select(
+        *_SPLIT, "start", _true("end").alias("end"), _true("through").alias("through"),
+        _true("longest").alias("longest"), _true("head_size").alias("head_size"),
+        _true("tail_size").alias("tail_size"), "first", F.lead("split").over(rows).isNull().alias("last"),
     )
-    lines = staging.save("lines", _added_up(effects, ["file", "split"], "position"))
-    last = F.max(F.struct("position", "since", "turned")).alias("last")
-    splits = lines.groupBy("file", "split").agg(last).select(
-        "file",
-        "split",
-        # a split decides the state if one of its lines does, else it keeps it or turns it over
-        ((F.col("last.since") + F.col("last.turned")) % 2).alias("decides"),
-        F.when(F.col("last.since").isNull(), F.col("last.turned") % 2).otherwise(0).alias("turns"),
+    opened = F.when((F.col("end") == 1) & ~F.col("through"), F.col("split"))
+    return ended.withColumn("opened", opened).withColumn(
+        "carried", F.last("opened", ignorenulls=True).over(before)
     )
-    splits = _added_up(splits, ["file"], "split").select(
-        "file",
-        "split",
-        _state(F.lit(0), "since_before", "turns_before").alias("start"),
-        _state(F.lit(0), "since", "turned").alias("end"),
+
+
+def _whole_splits(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """(file, split, text) of splits that lie inside one record; there are few, each shorter than
+    RECORD_LIMIT."""
+    key = splits.select(*[F.col(c).alias(f"_{c}") for c in _SPLIT])
+    same = (F.col("file") == F.col("_file")) & (F.col("split") == F.col("_split"))
+    inner = lines.join(key, same & (F.col("size") == F.col("_size")))
+    held = F.array_sort(F.collect_list(F.struct("position", "value")))
+    return inner.groupBy("file", "split").agg(
+        F.array_join(F.transform(held, lambda line: line["value"]), "\n").alias("text")
     )
-    splits = staging.save("splits", splits)
-    ends = splits.groupBy("file").agg(F.max(F.struct("split", "end")).alias("last"))
-    if not ends.filter(F.col("last.end") == 1).isEmpty():
-        raise ValueError("a quoted field is still open at the end of a file")
-    return lines.join(splits, ["file", "split"]).select(
-        "value", "file", "split", "position",
-        _state(F.col("start"), "since_before", "turns_before").alias("inside_before"),
-        _state(F.col("start"), "since", "turned").alias("inside_after"),
-    )
 
 
-def _spanning(staging: Staging, marked: DataFrame) -> DataFrame:
-    """Records of more than one line, in one piece each."""
-    inside = (F.col("inside_before") == 1) | (F.col("inside_after") == 1)
-    head = F.when(F.col("inside_before") == 0, F.col("position"))
-    rows = Window.partitionBy("file", "split").orderBy("position")
-    parts = marked.filter(inside).withColumn("start", F.last(head, ignorenulls=True).over(rows))
-    parts = staging.save("parts", parts)
-    earlier = Window.partitionBy("file").orderBy("split")
-    carried = (
-        parts.groupBy("file", "split")
-        .agg(F.max("start").alias("last_start"))
-        .select(
-            "file",
-            "split",
-            F.last("last_start", ignorenulls=True)
-            .over(earlier.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("carried"),
+def _crossing(lines: DataFrame, summaries: DataFrame, splits: DataFrame, through: bool) -> DataFrame:
+    """Records that cross borders of splits, put together from the pieces in the summaries. `through`
+    says whether any split lies inside one record."""
+    crossed = splits.filter((F.col("start") == 1) | F.col("opened").isNotNull())
+    # a split may end one record and start another: these are two pieces
+    ends = F.when(F.col("start") == 1, F.struct(
+        F.col("carried").alias("at"), F.when(F.col("through"), F.col("tail_size")).otherwise(F.col("head_size")).alias("length"),
+        F.lit("head").alias("kind"),
+    ))
+    begins = F.when(F.col("opened").isNotNull(), F.struct(
+        F.col("opened").alias("at"), F.col("tail_size").alias("length"), F.lit("tail").alias("kind")
+    ))
+    parts = crossed.select(*_SPLIT, "start", "through", F.explode(F.array_compact(F.array(ends, begins))).alias("part"))
+    sizes = parts.groupBy("file", "part.at").agg(F.sum("part.length").alias("length"))
+    if (sizes.agg(F.max("length").alias("most")).first()["most"] or 0) > RECORD_LIMIT:
+        raise ValueError(f"a record is longer than {RECORD_LIMIT} characters")
+    texts = summaries.select(*_SPLIT, "head0", "head1", "tail0", "tail1")
+    text = F.when(F.col("part.kind") == "head", _true("head")).otherwise(_true("tail"))
+    pieces = parts.filter(~(F.col("through") & (F.col("part.kind") == "head"))).join(texts, _SPLIT)
+    pieces = pieces.select("file", "part.at", "split", text.alias("text"))
+    if through:
+        inner = splits.filter((F.col("start") == 1) & F.col("through"))
+        within = _whole_splits(lines, inner).join(
+            inner.select("file", "split", F.col("carried").alias("at")), ["file", "split"]
         )
+        pieces = pieces.unionByName(within.select("file", "at", "split", "text"))
+    held = F.array_sort(F.collect_list(F.struct("split", "text")))
+    return pieces.groupBy("file", "at").agg(
+        F.array_join(F.transform(held, lambda part: part["text"]), "\n").alias("record")
+    ).select("record")
+
+
+class HeaderError(ValueError):
+    """The files have no header or different ones."""
+
+    def __init__(self) -> None:
+        super().__init__("the files have no header or different ones")
+
+
+def _begin(lines: DataFrame) -> tuple[str, bool]:
+    """The first line of one of the files, and whether one of its first lines opens a field. This
+    saves the search of all lines where fields commonly hold line breaks."""
+    begins = lines.filter((F.col("split") == 0) & (F.col("value") != ""))
+    rows = begins.select("value", "opens").limit(_FIRST_LINES).collect()
+    if not rows:
+        raise HeaderError
+    return rows[0]["value"], any(row["opens"] for row in rows)
+
+
+def _searched(lines: DataFrame, header: str) -> tuple[bool, int]:
+    """Whether any line opens a field, and how often a line equal to the header comes again in the first
+    split of its file. Raises if a file does not start with the header."""
+    begins = (F.col("split") == 0) & (F.col("value") != "")
+    equal = begins & (F.col("value") == F.lit(header))
+    files = lines.groupBy("file").agg(
+        F.min(F.when(begins, F.col("position"))).alias("first"),
+        F.min(F.when(equal, F.col("position"))).alias("header"),
+        F.sum(equal.cast("long")).alias("equal"),
+        F.max(F.col("opens").cast("int")).alias("opens"),
     )
-    parts = staging.save(
-        "parts",
-        parts.join(carried, ["file", "split"]).select(
-            F.coalesce("start", "carried").alias("record"), "file", "split", "position", "value"
-        ),
-    )
-    sizes = parts.groupBy("record").agg(F.sum(F.length("value") + 1).alias("size"))
-    if not sizes.filter(F.col("size") > RECORD_LIMIT).isEmpty():
-        raise ValueError(f"a record is longer than {RECORD_LIMIT} characters")
-    lines = F.array_sort(F.collect_list(F.struct("split", "position", "value")))
-    return parts.groupBy("record").agg(
-        F.min("file").alias("file"),
-        F.min("split").alias("split"),
-        F.col("record").alias("position"),
-        F.array_join(F.transform(lines, lambda line: line["value"]), "\n").alias("text"),
-    ).select("file", "split", "position", F.col("text").alias("record"))
+    facts = files.agg(
+        F.max(F.col("opens")).alias("opens"),
+        F.sum(F.greatest(F.col("equal") - 1, F.lit(0))).alias("again"),
+        # a file of empty lines has no header and no records
+        F.max((F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("header"))).cast("int")).alias("other"),
+    ).first()
+    if facts["other"]:
+        raise HeaderError
+    return bool(facts["opens"]), facts["again"]
 
 
-def records(staging: Staging, path: str, pattern: str) -> DataFrame:
-    """(file, split, position, record) of all records, headers included; empty lines between
-    records are left out.
+def records(staging: Staging, path: str, pattern: str) -> tuple[str, DataFrame]:
+    """The header that all files share, and (record) of all others; empty lines between records are
+    left out. The records are read from the files when they are used.
 
-    Raises if a quoted field is never closed or a record is longer than RECORD_LIMIT. If no
-    line opens a field, no record has a second line, and nothing is shuffled or written.
+    Raises if the headers differ, a quoted field is never closed, or a record is longer than
+    RECORD_LIMIT. If no line opens a field, lines are records and stay in the JVM. A change of
+    the way files are split between the two readings is an error, and is met by reading again.
     """
-    lines = _lines(staging.spark, path, pattern)
-    if lines.filter(F.col("value").rlike(OPENS)).isEmpty():
-        found = lines.select("file", "split", "position", F.col("value").alias("record"))
-    else:
-        marked = _marked_lines(staging, lines)
-        alone = marked.filter((F.col("inside_before") == 0) & (F.col("inside_after") == 0))
-        found = alone.select(
-            "file", "split", "position", F.col("value").alias("record")
-        ).unionByName(_spanning(staging, marked))
-        found = staging.save("records", found)
-    return found.filter(F.col("record") != "")
-
-
-def split_header(found: DataFrame) -> tuple[str, DataFrame]:
-    """The header that all files share, and the other records."""
-    first = (
-        found.filter(F.col("split") == 0)
-        .groupBy("file")
-        .agg(F.min(F.struct("position", "record")).alias("first"))
+    spark = staging.spark
+    lines = _lines(spark, path, pattern)
+    header, opens = _begin(lines)
+    if not opens:
+        opens, again = _searched(lines, header)
+    if not opens:
+        # equal records are the same to a reader: all lines like the header go, the later ones come back
+        at_header = (F.col("split") == 0) & (F.col("value") == F.lit(header))
+        found = lines.filter((F.col("value") != "") & ~at_header).select(F.col("value").alias("record"))
+        if again:
+            found = found.unionByName(spark.range(again).select(F.lit(header).alias("record")))
+        return header, found
+
+    read = lines.select("value", *_SPLIT, "opens", "stays")
+    summaries = read.mapInArrow(_reader("summary", RECORD_LIMIT), f"{_SPLIT_TYPES}, {_SUMMARY}")
+    summaries = staging.save("summaries", summaries)
+    splits = staging.save("splits", _resolved(summaries))
+    facts = splits.agg(
+        F.max(F.col("first") != F.lit(header)).alias("other"),
+        F.max(F.when(F.col("last"), F.col("end"))).alias("open"),
+        F.max("longest").alias("longest"),
+        F.max(F.col("through") & (F.col("start") == 1)).alias("through"),
+    ).first()
+    if facts["other"]:
+        raise HeaderError
+    if facts["open"]:
+        raise ValueError("a quoted field is still open at the end of a file")
+    if facts["longest"] > RECORD_LIMIT:
+        raise ValueError(f"a record is longer than {RECORD_LIMIT} characters")
+    crossing = staging.save("crossing", _crossing(lines, summaries, splits, facts["through"]))
+
+    made = read.mapInArrow(_reader("records", RECORD_LIMIT), f"{_SPLIT_TYPES}, case int, record string")
+    key = splits.select(*[F.col(c).alias(f"_{c}") for c in _SPLIT], "start")
+    same = (F.col("file") == F.col("_file")) & (F.col("split") == F.col("_split"))
+    joined = made.join(key, same & (F.col("size") == F.col("_size")), "left")
+    lost = F.raise_error(F.lit("the files are split in another way than before: read them again"))
+    true = (
+        F.when(F.col("case").isNull(), True)
+        .when(F.col("start").isNull(), lost.cast("boolean"))
+        .otherwise(F.col("case") == F.col("start"))
     )
-    headers = first.select("first.record").distinct().limit(2).collect()
-    if len(headers) != 1:
-        raise ValueError("the files have no header or different ones")
-    header = headers[0]["record"]
-    # the header is the first record of its file: a line equal to it may come again as data
-    rest = found.join(
-        first.select("file", F.col("first.position").alias("header_at")), "file"
-    ).filter(F.col("position") != F.col("header_at"))
-    return header, rest
+    inside = joined.filter(true).select("record")
+    return header, inside.unionByName(crossing).filter(F.col("record") != "")

@@ -8,7 +8,7 @@ import io
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom.schemas import ORDER_LINE_COLUMNS
-from martloom.sources.csv_records import records, split_header
+from martloom.sources.csv_records import records
 from martloom.sources.staging import Staging
 
 _DIALECT = {
@@ -35,9 +35,10 @@ def read_raw_csv(
     used, and so does a blank line, a quoted field that is never closed, or a file of the folder
     whose header differs. Every file is read by as many tasks as it has splits, by the same
     rules at any size; a compressed file has one split. `pattern` narrows the files of a folder
-    by name. Files with records over lines are written to `staging` on the way.
+    by name. Pieces of records that cross the splits of a file go to `staging`; the lines are read
+    from the files when the table is used.
     """
-    header, rest = split_header(records(staging or Staging(spark), path, pattern))
+    header, rest = records(staging or Staging(spark), path, pattern)
     headers = next(csv.reader(io.StringIO(header)))
     _check_headers(headers)
     schema = ", ".join(f"`{name}` STRING" for name in headers)

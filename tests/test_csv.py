@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import os
+import random
 from datetime import date
 from decimal import Decimal
 
@@ -207,7 +209,113 @@ def test_big_file_is_read_by_several_tasks(spark, tmp_path, small_splits):
     plan = table._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_csv(") == 1
     assert spark.read.text(path).rdd.getNumPartitions() > 5
-    assert not any(name.endswith("a.csv") for name in table.inputFiles())
+    # each task puts the records of its splits together: lines are not written before
+    assert any(name.endswith("a.csv") for name in table.inputFiles())
+
+
+def plan(table):
+    return table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_exchange_carries_lines(spark, tmp_path, small_splits):
+    broken = plan(read_raw_csv(spark, write(tmp_path / "a.csv", many(40, NAMES["some over lines"]))))
+    assert "MapInArrow" in broken and "SortMergeJoin" not in broken
+    assert broken.count("Exchange") == broken.count("BroadcastExchange")
+    # what is broadcast is one row per split
+    assert broken.count("BroadcastExchange") == 1 and "BroadcastHashJoin" in broken
+    plain = plan(read_raw_csv(spark, write(tmp_path / "b.csv", many(40, NAMES["one line each"]))))
+    assert "MapInArrow" not in plain and "Exchange" not in plain
+
+
+def test_only_pieces_at_borders_are_written(spark, tmp_path):
+    from martloom.sources.staging import Staging
+
+    path = write(tmp_path / "a.csv", many(4000, lambda i: f"Chair\n{i}"))
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        staging = Staging(spark)
+        table = read_raw_csv(spark, path, staging=staging)
+        splits = spark.read.text(path).rdd.getNumPartitions()
+        assert table.count() == 4000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+    folder = staging.root.removeprefix("file:")
+    written = {}
+    for name in os.listdir(folder):
+        written[name.split("-")[0]] = spark.read.parquet(f"{staging.root}/{name}").count()
+    assert splits > 10 and max(written.values()) <= splits + 1
+
+
+def test_other_splits_than_before_fail(spark, tmp_path, small_splits):
+    path = write(tmp_path / "a.csv", many(40, NAMES["some over lines"]))
+    table = read_raw_csv(spark, path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    with pytest.raises(Exception, match="split in another way"):
+        table.collect()
+
+
+def test_a_line_like_the_header_is_a_record(spark, tmp_path, small_splits):
+    header = dict(zip(HEADERS, HEADERS, strict=True))
+    for name in ("Chair", "Chair\nand table"):
+        path = write(tmp_path / "a.csv", [header, ROW, {**ROW, "Product Name": name}, header])
+        rows = read_raw_csv(spark, path).collect()
+        assert sorted(r["row_id"] for r in rows) == ["1", "1", "Row ID", "Row ID"]
+
+
+def slow_records(text):
+    """Records by reading characters: a quote opens a field at its beginning only."""
+    records, record, inside, plain = [], "", False, False
+    for line in text.split("\n"):
+        record += line if not record and not inside else "\n" + line
+        at = 0
+        plain = inside and plain
+        while at < len(line):
+            if inside:
+                if line[at] == '"' and line[at + 1 : at + 2] == '"':
+                    at += 1
+                elif line[at] == '"':
+                    inside, plain = False, True
+            elif line[at] == ",":
+                plain = False
+            elif line[at] == '"' and not plain:
+                inside = True
+            else:
+                plain = True
+            at += 1
+        if not inside:
+            records.append(record)
+            record = ""
+    return None if inside else [r for r in records if r]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_random_records_over_random_splits(spark, tmp_path, seed):
+    from martloom.sources import csv_records
+    from martloom.sources.staging import Staging
+
+    draw = random.Random(seed)
+    alphabet = "ab,,\n\"\"" if seed % 3 else "abcdef,\n\"" + "xyz" * 4
+    fields = ['"' + "".join(draw.choice(["x", ",", "\n", '""']) for _ in range(draw.randint(0, 9))) + '"' for _ in range(60)]
+    wild = "".join(draw.choice(alphabet) for _ in range(500))
+    text = "head,er\n" + ("\n".join(",".join(draw.sample(fields, 2)) for _ in range(60)) if seed % 2 else wild)
+    if slow_records(text) is None:
+        text += '"'
+    want = slow_records(text)
+    path = tmp_path / "a.csv"
+    path.write_text(text)
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (keep, str(draw.randint(9, 40)), str(draw.randint(60, 300))):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            if want is None:
+                with pytest.raises(ValueError, match="still open"):
+                    csv_records.records(Staging(spark), str(path), "*")
+                continue
+            header, found = csv_records.records(Staging(spark), str(path), "*")
+            assert (header, sorted(r["record"] for r in found.collect())) == (want[0], sorted(want[1:]))
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
 
 
 def test_quote_inside_a_plain_field_is_text(spark, tmp_path, small_splits):
