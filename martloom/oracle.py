@@ -201,6 +201,44 @@ def _broken_report() -> str:
     return f"WITH {_core('plain', False)} {rows}"
 
 
+def _fan_out(variant: str, strict: bool = False) -> str:
+    """Every join run in full, and counted."""
+    joins = [
+        ("dim_product", "product_id product_name", "dim_sub_category", "subs", "sub_category", "category"),
+        ("dim_state", "state", "dim_region", "regions", "region", "country"),
+        ("dim_city", "city", "dim_state", "states", "state", "region country"),
+        ("dim_postal_code", "postal_code", "dim_city", "cities", "city state", "region country"),
+        ("fact_sales", "", "dim_shipment", "(SELECT DISTINCT ship_date, ship_mode FROM core)", "ship_date ship_mode", ""),
+        ("fact_sales", "", "dim_postal_code", "codes", "postal_code", "city state region country"),
+        ("fact_sales", "", "dim_product", "products", "product_id product_name", "sub_category category"),
+        ("fact_sales", "", "dim_customer", "buyers", "customer_id", "customer_name segment"),
+        ("fact_sales", "", "dim_order", "receipts", "order_id", "order_date"),
+    ]
+    rows = []
+    for child, own, parent, source, title, rest in joins:
+        keys = title.split() + (rest.split() if strict else [])
+        names = ", ".join(dict.fromkeys(own.split() + keys))
+        children = f"(SELECT DISTINCT {names} FROM core)" if own else "core"
+        key = ", ".join(keys)
+        rows.append(f"""
+            SELECT '{child} to {parent}' AS join_name,
+                   (SELECT count(*) FROM {children}) AS child_rows,
+                   (SELECT count(*) FROM {children} c JOIN {source} p USING ({key})) AS joined_rows,
+                   (SELECT count(*) FROM {children} c ANTI JOIN {source} p USING ({key})) AS unmatched_rows,
+                   (SELECT count(*) FROM (SELECT {key} FROM {source} SEMI JOIN core USING ({key})
+                                          GROUP BY ALL HAVING count(*) > 1)) AS repeated_keys,
+                   (SELECT max(n) FROM (SELECT count(*) AS n FROM {source} SEMI JOIN core USING ({key})
+                                        GROUP BY {key})) AS most_parents""")
+    return f"WITH {_core(variant, strict)} " + " UNION ALL ".join(rows)
+
+
+def _moment(moment: str, variant: str) -> str:
+    return f"""SELECT * FROM (WITH {_core(variant, False)}
+        SELECT '{moment}' AS moment,
+               (SELECT CAST(sum(quantity) AS BIGINT) FROM lines) AS line_quantity,
+               (SELECT CAST(sum(sum_of_sale) AS DECIMAL(38,2)) FROM facts) AS mart_sales)"""
+
+
 def oracle_sql() -> dict[str, str]:
     typed_text = ", ".join(
         _as_text(name) if name in DATE_COLUMNS else name for name in _NAMES
@@ -285,6 +323,14 @@ def oracle_sql() -> dict[str, str]:
             "DISTINCT customer_id",
             "lines WHERE customer_id NOT IN (SELECT customer_id FROM core)",
         ),
+        "refresh_interrupted": " UNION ALL ".join(
+            [_moment("before", "repeated"), _moment("between", "plain"), _moment("after", "plain")]
+        ),
+        "fan_out_report": _fan_out("shared_all"),
+        "fan_out_report_plain": _fan_out("plain"),
+        "fan_out_report_strict": _fan_out("shared_all", strict=True),
+        "fan_out_totals": _reconciliation("shared_all", strict=False),
+        "fan_out_totals_strict": _reconciliation("shared_all", strict=True),
         "refresh_on_arrival_twice": _by_year("plain"),
         "random_category": "SELECT CAST(1 AS BIGINT) AS rows_picked, true AS known",
         "mart_for_random_category": "SELECT CAST(0 AS BIGINT) AS rows_missing, "

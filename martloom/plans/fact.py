@@ -36,39 +36,20 @@ _STRICT_KEYS = [
 ]
 
 
-def fact_sales(
-    core_raw: DataFrame, tables: dict[str, DataFrame], config: MartConfig
-) -> DataFrame:
-    """Sales, quantity, effective discount and profit per order, shipment, customer,
-    postal code and product.
+# core_raw columns under the names that dimensions have for them
+_RENAMED = {
+    "order_id": "order_id_from_raw",
+    "customer_id": "customer_id_from_raw",
+    "product_id": "product_id_from_raw",
+}
 
-    Lines are summed per natural key before any join. A surrogate key stands for one
-    natural key, so each sum ends in its own fact rows: a second aggregation is not
-    needed, and where an incomplete key finds several dimension rows the whole group is
-    repeated, as every one of its lines would be. A group that holds much of the data
-    shrinks to one row before the first shuffle. List value is price times quantity, and a
-    product has one price, so it too comes from the summed quantity.
 
-    The joins are left to Spark: written dimensions have sizes, small ones are broadcast,
-    big ones are merged with skewed keys split at run time.
-    """
+def fact_parents(
+    tables: dict[str, DataFrame], config: MartConfig
+) -> dict[str, tuple[DataFrame, list[str]]]:
+    """What the lines of the fact are joined to, in this order: (dimension with its natural key,
+    columns of the key)."""
     strict = config.strict_keys
-    lines = (
-        core_raw.groupBy(*_LINE_KEYS, *(_STRICT_KEYS if strict else []))
-        .agg(
-            F.sum("sales").alias("sum_of_sale"),
-            F.sum("quantity").alias("quantity"),
-            F.sum("profit").alias("profit"),
-        )
-        .withColumnsRenamed(
-            {
-                "order_id": "order_id_from_raw",
-                "customer_id": "customer_id_from_raw",
-                "product_id": "product_id_from_raw",
-            }
-        )
-    )
-
     shipments = shipment_path(tables["dim_shipment"], tables["dim_date"], tables["dim_ship_mode"])
     codes = tables["dim_postal_code"]
     products = tables["dim_product"]
@@ -95,14 +76,52 @@ def fact_sales(
             "date_id",
         )
         order_key += ["order_date"]
+    return {
+        "dim_shipment": (shipments, ["ship_date", "ship_mode"]),
+        "dim_postal_code": (codes.select("postal_code_id", *code_key), code_key),
+        "dim_product": (products.select("product_id", "price", *product_key), product_key),
+        "dim_customer": (customers.select("customer_id", *customer_key), customer_key),
+        "dim_order": (orders.select("order_id", *order_key), order_key),
+    }
+
 
-    keyed = (
-        lines.join(shipments, ["ship_date", "ship_mode"])
-        .join(codes.select("postal_code_id", *code_key), code_key)
-        .join(products.select("product_id", "price", *product_key), product_key)
-        .join(customers.select("customer_id", *customer_key), customer_key)
-        .join(orders.select("order_id", *order_key), order_key)
+def summed_lines(core_raw: DataFrame, config: MartConfig) -> DataFrame:
+    """Lines summed per natural key of the fact, under the names of the dimensions."""
+    return (
+        core_raw.groupBy(*_LINE_KEYS, *(_STRICT_KEYS if config.strict_keys else []))
+        .agg(
+            F.sum("sales").alias("sum_of_sale"),
+            F.sum("quantity").alias("quantity"),
+            F.sum("profit").alias("profit"),
+        )
+        .withColumnsRenamed(_RENAMED)
     )
+
+
+def lines_with_keys(core_raw: DataFrame) -> DataFrame:
+    """Lines under the names of the dimensions, none summed."""
+    return core_raw.withColumnsRenamed(_RENAMED)
+
+
+def fact_sales(
+    core_raw: DataFrame, tables: dict[str, DataFrame], config: MartConfig
+) -> DataFrame:
+    """Sales, quantity, effective discount and profit per order, shipment, customer,
+    postal code and product.
+
+    Lines are summed per natural key before any join. A surrogate key stands for one
+    natural key, so each sum ends in its own fact rows: a second aggregation is not
+    needed, and where an incomplete key finds several dimension rows the whole group is
+    repeated, as every one of its lines would be. A group that holds much of the data
+    shrinks to one row before the first shuffle. List value is price times quantity, and a
+    product has one price, so it too comes from the summed quantity.
+
+    The joins are left to Spark: written dimensions have sizes, small ones are broadcast,
+    big ones are merged with skewed keys split at run time.
+    """
+    keyed = summed_lines(core_raw, config)
+    for parent, key in fact_parents(tables, config).values():
+        keyed = keyed.join(parent, key)
     return keyed.select(
         "order_id",
         "shipment_id",

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from martloom.operators.checks import require_foreign_keys, require_primary_key
-from martloom.plans.core import GRAINS, build_core
+from martloom.plans.core import GRAINS, NEEDS, build_core
+from martloom.plans.fan_out import require_no_fan_out
 from martloom.plans.marts import (
     known_category,
     mart_for_random_category,
@@ -30,17 +31,22 @@ def load_raw(warehouse: Warehouse, path: str, pattern: str = "*") -> DataFrame:
 
 
 def load_core(
-    warehouse: Warehouse, raw: DataFrame, verify: bool = False
+    warehouse: Warehouse, raw: DataFrame, verify: bool = False, allow_fan_out: bool = True
 ) -> dict[str, DataFrame]:
     """Copy one segment to the core layer and build its tables.
 
     Surrogate keys are unique and foreign keys come from their parents, both by
-    construction; `verify` checks every declared key all the same.
+    construction; `verify` checks every declared key all the same. Unless `allow_fan_out`, the
+    fact is not built if a join would repeat or lose lines.
     """
     lines = warehouse.stage(
         "core_raw", core_raw(raw, warehouse.config.segment), conformed=True
     )
-    tables = build_core(lines, warehouse.config, warehouse.save)
+    known = None
+    if not allow_fan_out:
+        known = build_core(lines, warehouse.config, warehouse.save, set(NEEDS["fact_sales"]))
+        require_no_fan_out(lines, known, warehouse.config)
+    tables = build_core(lines, warehouse.config, warehouse.save, have=known)
     core = {name: df for name, df in tables.items() if name not in GRAINS}
     if verify:
         for table in PRIMARY_KEYS.keys() & core.keys():
@@ -62,13 +68,16 @@ def refresh(
     category: str | None = None,
     seed: int | None = None,
     verify: bool = False,
+    allow_fan_out: bool = True,
 ) -> None:
     """Reload everything from a file. Without a category the second mart takes a random
     one. Nothing is published before the last table is written, so a failed load leaves all
-    layers as they were. Tables are then published one by one, within a moment."""
+    layers as they were. All tables are then published as one load; one that a dead driver left
+    half published is brought to its end first."""
     config = warehouse.config
     warehouse.discard()
-    tables = load_core(warehouse, load_raw(warehouse, path, pattern), verify)
+    warehouse.recover()
+    tables = load_core(warehouse, load_raw(warehouse, path, pattern), verify, allow_fan_out)
     with Staging(warehouse.spark) as staging:
         grain = staging.save("sales_grain", sales_grain(tables))
         warehouse.stage("mart_sales_by_year", mart_sales_by_year(tables, grain))

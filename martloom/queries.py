@@ -23,8 +23,9 @@ from martloom.operators.checks import (
 )
 from martloom.operators.keys import surrogate_key
 from martloom.plans import natural
-from martloom.plans.core import GRAINS, build_core
+from martloom.plans.core import GRAINS, NEEDS, build_core
 from martloom.plans.dims import product_grain, product_price
+from martloom.plans.fan_out import fan_out_report, fan_out_totals
 from martloom.plans.marts import (
     mart_for_each_category,
     mart_for_random_category,
@@ -34,7 +35,7 @@ from martloom.plans.marts import (
 )
 from martloom.plans.raw import core_raw, raw_dates, raw_typed
 from martloom.plans.refresh import publish_mart, refresh
-from martloom.schemas import FOREIGN_KEYS
+from martloom.schemas import FOREIGN_KEYS, TABLES
 from martloom.sources.order_lines_csv import read_raw_csv
 from martloom.sources.staging import Staging, write_marker
 from martloom.sources.star_schema import as_text, land_csv, land_fields, order_lines
@@ -226,6 +227,54 @@ def q_refresh_on_arrival_twice(spark: SparkSession, folder: str) -> DataFrame:
     return mart
 
 
+class _DyingWarehouse(Warehouse):
+    """A warehouse whose driver dies after it has moved some pointers of a load."""
+
+    moves_left: int | None = None
+
+    def _point(self, table: str, path: str, load: str) -> None:
+        if self.moves_left is not None:
+            if not self.moves_left:
+                raise ConnectionAbortedError(f"the driver died before {table} was published")
+            self.moves_left -= 1
+        super()._point(table, path, load)
+
+
+def q_refresh_interrupted(spark: SparkSession, folder: str) -> DataFrame:
+    """A load replaces another and stops between two tables: what readers of whole loads see before,
+    between and after the next use of the warehouse."""
+    staging = Staging(spark)
+    place = f"{staging.root}/layers", settings(), f"q{uuid.uuid4().hex[:12]}_"
+    warehouse = _DyingWarehouse(spark, *place)
+    warehouse.create_layers()
+    seen = []
+
+    def look(moment: str, reader: Warehouse) -> None:
+        tables = reader.read_load("mart_sales_by_year", "order_lines")
+        lines = tables["order_lines"].agg(F.sum("quantity").alias("line_quantity"))
+        mart = tables["mart_sales_by_year"].agg(F.sum("sum_of_sale").alias("mart_sales"))
+        facts = {**lines.first().asDict(), **mart.first().asDict()}
+        seen.append((moment, facts["line_quantity"], facts["mart_sales"]))
+
+    for day, variant, moves in (("day-1", "repeated", None), ("day-2", "plain", 5)):
+        land_csv(order_lines(spark, folder, variant), f"{staging.root}/landing/{day}")
+        warehouse.moves_left = moves
+        try:
+            refresh(warehouse, f"{staging.root}/landing/{day}", pattern="*.csv", category=CATEGORY)
+        except ConnectionAbortedError:
+            look("between", warehouse)
+        else:
+            look("before", warehouse)
+    following = Warehouse(spark, *place)
+    following.recover()
+    look("after", following)
+    loads = {following.load_of(t) for tables in TABLES.values() for t in tables}
+    if len(loads) != 1 or following.loads.history().count() != 2:
+        raise RuntimeError("tables of several loads are shown")
+    following.drop_layers()
+    return spark.createDataFrame(seen, "moment string, line_quantity long, mart_sales decimal(38,2)")
+
+
 def q_publish_mart(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = _warehouse(spark)
     rows = mart_sales_by_year(core_layer(spark, folder).tables())
@@ -420,6 +469,15 @@ def _reconciliation(variant: str, strict: bool) -> Query:
     return query
 
 
+def _fan_out(variant: str, strict: bool = False, totals: bool = False) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        layer = core_layer(spark, folder, variant, strict)
+        work = fan_out_totals if totals else fan_out_report
+        return work(layer.lines, layer.tables(*NEEDS["fact_sales"]), layer.config)
+
+    return query
+
+
 QUERIES: dict[str, Query] = {
     "read_raw_csv": q_read_raw_csv,
     "read_raw_csv_breaks": q_read_raw_csv_breaks,
@@ -461,10 +519,16 @@ QUERIES: dict[str, Query] = {
     "publish_mart": q_publish_mart,
     "refresh_on_arrival": q_refresh_on_arrival,
     "refresh_on_arrival_twice": q_refresh_on_arrival_twice,
+    "refresh_interrupted": q_refresh_interrupted,
     "check_primary_key": q_check_primary_key,
     "check_foreign_key": q_check_foreign_key,
     "constraint_report": q_constraint_report,
     "constraint_report_broken": q_constraint_report_broken,
+    "fan_out_report": _fan_out("shared_all"),
+    "fan_out_report_plain": _fan_out("plain"),
+    "fan_out_report_strict": _fan_out("shared_all", strict=True),
+    "fan_out_totals": _fan_out("shared_all", totals=True),
+    "fan_out_totals_strict": _fan_out("shared_all", strict=True, totals=True),
     "reconciliation": _reconciliation("shared_all", strict=False),
     "reconciliation_strict": _reconciliation("shared_all", strict=True),
 }

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+from threading import RLock
+
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.config import MartConfig
 from martloom.functions.conform import conform, require_ansi
 from martloom.operators.checks import require_primary_key
 from martloom.schemas import PRIMARY_KEYS, TABLES, columns_of, create_table_sql, struct_of
-from martloom.sources.staging import Staging
+from martloom.sources.loads import Load, LoadLog, Move
+from martloom.sources.staging import Staging, hadoop_path
 
 SLOTS = ("a", "b")
+# Property of a table that names the load that it shows.
+LOAD_PROPERTY = "martloom.load"
 
 
 class Warehouse:
@@ -19,6 +25,10 @@ class Warehouse:
     Every table owns two folders and points at one. A refresh writes the other, checks it
     and then moves the pointer, so a load that fails, or an executor that dies, leaves the
     table as it was. (INSERT OVERWRITE drops the old files before it writes.)
+
+    Tables that are published together are one load. Its record is written before the first
+    pointer moves; if a driver dies between two of them, the next use of the warehouse moves the rest.
+    `read_load` gives tables of one load at any moment. One driver at a time may load.
     """
 
     def __init__(
@@ -30,7 +40,9 @@ class Warehouse:
         self.config = config
         self.prefix = prefix
         self.staging = Staging(spark)
+        self.loads = LoadLog(spark, f"{self.root}/{prefix}loads")
         self._waiting: dict[str, str] = {}
+        self._lock = RLock()
 
     def create_layers(self) -> None:
         """Create the databases and empty tables that are not there yet."""
@@ -65,7 +77,9 @@ class Warehouse:
         enforced here, before any reader sees a row. `conformed` rows are known to have them
         and are only put in column order.
         """
-        path = self._slot(table, self._idle_slot(table))
+        with self._lock:
+            self.recover()  # or its folders would be written over
+            path = self._slot(table, self._idle_slot(table))
         names = [name for name, _ in columns_of(table)]
         rows = df.select(*names) if conformed else conform(df, table, self.config.key_type)
         rows.write.mode("overwrite").parquet(path)
@@ -83,12 +97,71 @@ class Warehouse:
         return self.staging.save(name, df)
 
     def publish(self, *only: str) -> None:
-        """Point staged tables (all, or some) at their new rows, parents before children."""
-        for tables in TABLES.values():
-            for table in tables:
-                if table in self._waiting and (not only or table in only):
-                    path = self._waiting.pop(table)
-                    self.spark.sql(f"ALTER TABLE {self.name_of(table)} SET LOCATION '{path}'")
+        """Point staged tables (all, or some) at their new rows, parents before children, as one
+        load."""
+        with self._lock:
+            self.recover()
+            staged = [
+                table
+                for tables in TABLES.values()
+                for table in tables
+                if table in self._waiting and (not only or table in only)
+            ]
+            if not staged:
+                return
+            moves = {table: Move(self._location(table), self._waiting.pop(table)) for table in staged}
+            load = Load(uuid.uuid4().hex, moves)
+            self.loads.begin(load)
+            self._complete(load)
+
+    def recover(self) -> str | None:
+        """Bring a load to its end whose driver died while it was published, and return its id.
+        Should one of its folders be gone, the tables that have moved go back."""
+        load = self.loads.unfinished()
+        if load is None:
+            return None
+        if all(self._exists(move.after) for move in load.tables.values()):
+            self._complete(load)
+        else:
+            for table, move in load.tables.items():
+                self._point(table, move.before, "")
+            self.loads.forget()
+        return load.load
+
+    def _complete(self, load: Load) -> None:
+        for table, move in load.tables.items():
+            self._point(table, move.after, load.load)
+        self.loads.finish(load)
+
+    def _point(self, table: str, path: str, load: str) -> None:
+        name = self.name_of(table)
+        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{LOAD_PROPERTY}' = '{load}')")
+        self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+
+    def _exists(self, path: str) -> bool:
+        system, where = hadoop_path(self.spark, path)
+        return system.exists(where)
+
+    def load_of(self, table: str) -> str | None:
+        """The id of the load whose rows a table shows."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name_of(table)}").collect()
+        return next((r["value"] or None for r in rows if r["key"] == LOAD_PROPERTY), None)
+
+    def read_load(self, *tables: str) -> dict[str, DataFrame]:
+        """Published rows of several tables, all of them before a load or all after it, also while
+        pointers are moving: tables of a load that is under way are read from where they go.
+
+        The folders stay as they are until the next but one load writes.
+        """
+        while True:
+            loads, under_way = self.loads.published(), self.loads.unfinished()
+            moves = under_way.tables if under_way else {}
+            places = {t: moves[t].after if t in moves else self._location(t) for t in tables}
+            now = self.loads.unfinished()
+            if loads == self.loads.published() and now == under_way:
+                break
+        schemas = {t: struct_of(t, self.config.key_type) for t in tables}
+        return {t: self.spark.read.schema(schemas[t]).parquet(places[t]) for t in tables}
 
     def discard(self) -> None:
         """Forget what is staged; the next load writes over it."""
@@ -103,7 +176,9 @@ class Warehouse:
         layer = next(name for name, tables in TABLES.items() if table in tables)
         return f"{self.root}/{self.prefix}{layer}/{table}/{slot}"
 
-    def _idle_slot(self, table: str) -> str:
+    def _location(self, table: str) -> str:
         facts = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name_of(table)}")
-        location = facts.filter("col_name = 'Location'").first()["data_type"]
-        return SLOTS[1] if location.rstrip("/").endswith(f"/{SLOTS[0]}") else SLOTS[0]
+        return facts.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+
+    def _idle_slot(self, table: str) -> str:
+        return SLOTS[1] if self._location(table).endswith(f"/{SLOTS[0]}") else SLOTS[0]

@@ -258,3 +258,101 @@ def test_staging_as_a_context_leaves_nothing(spark):
             assert os.path.isdir(staging.root)
             raise RuntimeError
     assert not os.path.exists(staging.root)
+
+
+# loads of several tables
+
+
+class Dying(Warehouse):
+    """Dies after some pointer moves."""
+
+    moves_left = None
+
+    def _point(self, table, path, load):
+        if self.moves_left is not None:
+            if self.moves_left == 0:
+                raise ConnectionAbortedError(table)
+            self.moves_left -= 1
+        super()._point(table, path, load)
+
+
+def shown(warehouse):
+    """(first row id, sales of the mart) as plain readers of tables see them."""
+    mart = warehouse.read_table("mart_sales_by_year").first()
+    return min(ids(warehouse)), mart["sum_of_sale"]
+
+
+def one_load(warehouse):
+    tables = warehouse.read_load("order_lines", "mart_sales_by_year")
+    return tables["order_lines"].first()["row_id"], tables["mart_sales_by_year"].first()["sum_of_sale"]
+
+
+OLD, NEW = (1, Decimal("261.96")), (2, Decimal("99.00"))
+
+
+@pytest.fixture
+def half_published(spark, tmp_path):
+    """A warehouse that stopped between two pointer moves, and another that finds it so."""
+    place = str(tmp_path / "layers"), MartConfig(year=2016, key_buckets=8), f"t{uuid.uuid4().hex[:8]}_"
+    dying = Dying(spark, *place)
+    dying.create_layers()
+    refresh(dying, write(tmp_path / "a.csv", [ROW]), category="Furniture")
+    assert shown(dying) == one_load(dying) == OLD
+    dying.moves_left = 4
+    with pytest.raises(ConnectionAbortedError):
+        refresh(dying, write(tmp_path / "b.csv", [{**ROW, "Row ID": "2", "Sales": "99"}]), category="Furniture")
+    found = Warehouse(spark, *place)
+    yield found
+    found.drop_layers()
+
+
+def test_readers_of_a_load_never_see_two(half_published):
+    # tables one by one: the lines are new, the mart is old
+    assert shown(half_published) == (NEW[0], OLD[1])
+    assert one_load(half_published) == NEW
+
+
+def test_the_next_call_completes_a_half_published_load(half_published, make_lines):
+    half_published.write_table("order_lines", make_lines({"row_id": 9}))
+    assert shown(half_published) == (9, NEW[1])
+    assert half_published.loads.unfinished() is None
+    loads = half_published.loads.history().collect()
+    assert [len(load["tables"]) for load in loads] == [19, 19, 1]
+    assert half_published.load_of("dim_city") == loads[1]["load"]
+    assert half_published.load_of("order_lines") == loads[2]["load"]
+
+
+def test_the_next_refresh_starts_from_one_load(half_published, tmp_path):
+    refresh(half_published, write(tmp_path / "c.csv", [{**ROW, "Row ID": "3"}]), category="Furniture")
+    assert shown(half_published) == one_load(half_published) == (3, OLD[1])
+    assert half_published.loads.history().count() == 3
+
+
+def test_a_load_whose_rows_are_gone_is_taken_back(half_published):
+    import shutil
+
+    move = half_published.loads.unfinished().tables["mart_sales_by_year"]
+    shutil.rmtree(move.after.removeprefix("file:"))
+    half_published.recover()
+    assert shown(half_published) == one_load(half_published) == OLD
+    assert half_published.recover() is None and half_published.loads.history().count() == 1
+
+
+def test_a_driver_that_dies_before_the_first_move_or_after_the_last(spark, tmp_path, make_lines, monkeypatch):
+    place = str(tmp_path / "layers"), MartConfig(key_buckets=8), f"t{uuid.uuid4().hex[:8]}_"
+    dying = Dying(spark, *place)
+    dying.create_layers()
+    assert dying.loads.history().count() == 0 and dying.load_of("order_lines") is None
+    dying.moves_left = 0
+    with pytest.raises(ConnectionAbortedError):
+        dying.write_table("order_lines", make_lines({}))
+    assert ids(dying) == []
+    dying.moves_left = None
+    dying.recover()
+    assert ids(dying) == [1]
+    with monkeypatch.context() as patch:
+        patch.setattr(dying.loads, "forget", lambda: None)
+        dying.write_table("order_lines", make_lines({}, {}))
+    dying.recover()
+    assert ids(dying) == [1, 2] and dying.loads.history().count() == 2
+    dying.drop_layers()
