@@ -308,6 +308,8 @@ def oracle_sql() -> dict[str, str]:
         "mart_sub_category_sales": _by_sub_category("plain"),
         "mart_sub_category_sales_shared_all": _by_sub_category("shared_all"),
         "mart_sub_category_sales_strict": _by_sub_category("shared_all", strict=True),
+        "mart_sales_by_year_grain": _by_year("plain"),
+        "mart_sub_category_sales_grain": _by_sub_category("plain"),
         "build_core": f"WITH {_core('plain', False)} "
         + " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source}"

@@ -69,17 +69,18 @@ def refresh(
     seed: int | None = None,
     verify: bool = False,
     allow_fan_out: bool = True,
+    statistics: bool = True,
 ) -> None:
     """Reload everything from a file. Without a category the second mart takes a random
     one. Nothing is published before the last table is written, so a failed load leaves all
     layers as they were. All tables are then published as one load; one that a dead driver left
-    half published is brought to its end first."""
+    half published is brought to its end first. `statistics` keeps row counts for later readers."""
     config = warehouse.config
     warehouse.discard()
     warehouse.recover()
     tables = load_core(warehouse, load_raw(warehouse, path, pattern), verify, allow_fan_out)
     with Staging(warehouse.spark) as staging:
-        grain = staging.save("sales_grain", sales_grain(tables))
+        grain = staging.save("sales_grain", sales_grain(tables), by="year")
         warehouse.stage("mart_sales_by_year", mart_sales_by_year(tables, grain))
         if category is None:
             second = mart_for_random_category(tables, config.segment, config.year, seed, grain)
@@ -90,3 +91,5 @@ def refresh(
             )
         warehouse.stage("mart_sub_category_sales", second)
     warehouse.publish()
+    if statistics:
+        warehouse.analyze()

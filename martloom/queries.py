@@ -32,10 +32,12 @@ from martloom.plans.marts import (
     mart_sales_by_year,
     mart_sub_category_sales,
     random_category,
+    sales_grain,
 )
 from martloom.plans.raw import core_raw, raw_dates, raw_typed
 from martloom.plans.refresh import publish_mart, refresh
-from martloom.schemas import FOREIGN_KEYS, TABLES
+from martloom.schemas import BUCKETED, FOREIGN_KEYS, TABLES
+from martloom.sources.buckets import Buckets
 from martloom.sources.order_lines_csv import read_raw_csv
 from martloom.sources.staging import Staging, write_marker
 from martloom.sources.star_schema import as_text, land_csv, land_fields, order_lines
@@ -51,7 +53,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def settings(strict: bool = False) -> MartConfig:
-    return MartConfig(segment=SEGMENT, year=YEAR, strict_keys=strict)
+    return MartConfig(segment=SEGMENT, year=YEAR, strict_keys=strict, order_buckets=16)
 
 
 class CoreLayer:
@@ -64,10 +66,21 @@ class CoreLayer:
             "core_raw", core_raw(order_lines(spark, folder, variant), SEGMENT)
         )
         self._tables: dict[str, DataFrame] = {}
+        self._grain: DataFrame | None = None
         self._lock = Lock()
 
     def save(self, name: str, df: DataFrame) -> DataFrame:
-        return self.staging.save(name, df if name in GRAINS else conform(df, name))
+        rows = df if name in GRAINS else conform(df, name)
+        buckets = Buckets(BUCKETED[name], self.config.order_buckets) if name in BUCKETED else None
+        return self.staging.save(name, rows, buckets=buckets)
+
+    def grain(self) -> DataFrame:
+        """The sales grain of both marts, one folder for each year."""
+        tables = self.tables()
+        with self._lock:
+            if self._grain is None:
+                self._grain = self.staging.save("sales_grain", sales_grain(tables), by="year")
+            return self._grain
 
     def tables(self, *names: str) -> dict[str, DataFrame]:
         only = set(names) if names else None
@@ -368,6 +381,18 @@ def _by_sub_category(variant: str, strict: bool = False) -> Query:
     return query
 
 
+def q_mart_sales_by_year_grain(spark: SparkSession, folder: str) -> DataFrame:
+    """The mart from the written grain."""
+    layer = core_layer(spark, folder)
+    return mart_sales_by_year(layer.tables(), layer.grain())
+
+
+def q_mart_sub_category_sales_grain(spark: SparkSession, folder: str) -> DataFrame:
+    """The mart from one year's folder of the written grain."""
+    layer = core_layer(spark, folder)
+    return mart_sub_category_sales(layer.tables(), SEGMENT, YEAR, CATEGORY, layer.grain())
+
+
 def q_random_category(spark: SparkSession, folder: str) -> DataFrame:
     """What holds for every pick: one row, of a category that there is."""
     categories = core_layer(spark, folder).tables("dim_category")["dim_category"]
@@ -512,6 +537,8 @@ QUERIES: dict[str, Query] = {
     "mart_sub_category_sales": _by_sub_category("plain"),
     "mart_sub_category_sales_shared_all": _by_sub_category("shared_all"),
     "mart_sub_category_sales_strict": _by_sub_category("shared_all", strict=True),
+    "mart_sales_by_year_grain": q_mart_sales_by_year_grain,
+    "mart_sub_category_sales_grain": q_mart_sub_category_sales_grain,
     "random_category": q_random_category,
     "mart_for_random_category": q_mart_for_random_category,
     "mart_for_each_category": q_mart_for_each_category,

@@ -180,6 +180,13 @@ FOREIGN_KEYS = (
     ("fact_sales", "product_id", "dim_product"),
 )
 
+# Key columns of the dimensions and the fact: what tables of the core layer are joined on.
+KEY_COLUMNS = {
+    table: tuple(dict.fromkeys([*key, *(c for child, c, _ in FOREIGN_KEYS if child == table)]))
+    for table, key in PRIMARY_KEYS.items()
+    if table not in ("order_lines", "core_raw")
+}
+
 
 def columns_of(table: str, key_type: str = "BIGINT") -> tuple[tuple[str, str], ...]:
     """(name, SQL type) of each column of a declared table, in table order."""
@@ -200,9 +207,16 @@ def struct_of(table: str, key_type: str = "BIGINT") -> T.StructType:
     return T.StructType(fields)
 
 
-def create_table_sql(database: str, table: str, location: str, key_type: str) -> str:
+# Tables that are joined on an order, written in buckets of it.
+BUCKETED = {"dim_order": "order_id", "fact_sales": "order_id"}
+
+
+def create_table_sql(
+    database: str, table: str, location: str, key_type: str, buckets: str = ""
+) -> str:
+    """`buckets` is the clause of a table that is written in buckets."""
     body = ", ".join(f"`{name}` {kind}" for name, kind in columns_of(table, key_type))
     return (
         f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({body}) "
-        f"USING parquet LOCATION '{location}'"
+        f"USING parquet {buckets} LOCATION '{location}'"
     )

@@ -7,11 +7,13 @@ side of a join is small enough to broadcast.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from martloom.sources.buckets import Buckets, write_bucketed
 
 _local_folders: dict[str, str] = {}
 
@@ -57,16 +59,41 @@ class Staging:
         system, where = hadoop_path(spark, self.root)
         system.mkdirs(where)
         system.deleteOnExit(where)
+        self._entries: list[str] = []
+        atexit.register(self._forget_entries)
 
     def __enter__(self) -> Staging:
         return self
 
     def __exit__(self, *_: object) -> None:
+        self._forget_entries()
+        atexit.unregister(self._forget_entries)
         system, where = hadoop_path(self.spark, self.root)
         system.delete(where, True)
 
-    def save(self, name: str, df: DataFrame) -> DataFrame:
-        """Write to a folder of its own and return the written table."""
+    def save(
+        self, name: str, df: DataFrame, by: str | None = None, buckets: Buckets | None = None
+    ) -> DataFrame:
+        """Write to a folder of its own and return the written table.
+
+        With `by`, one folder for each value of that column: readers of some values read their
+        folders only. Rows are dealt out by it once more, in parts of a size that Spark chooses, so
+        a value is a few files and a value that holds much of the table is many. With
+        `buckets`, the table has a catalog entry until the block ends, or the application.
+        """
         path = f"{self.root}/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        if buckets:
+            entry = f"martloom_{name}_{uuid.uuid4().hex}"
+            self._entries.append(entry)
+            return write_bucketed(df, entry, path, buckets)
+        if by:
+            df.hint("rebalance", F.col(by)).write.partitionBy(by).parquet(path)
+        else:
+            df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    def _forget_entries(self) -> None:
+        if not self.spark.sparkContext._jsc:  # the application has ended
+            return
+        while self._entries:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._entries.pop()}")

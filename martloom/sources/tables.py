@@ -3,14 +3,25 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from threading import RLock
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.config import MartConfig
 from martloom.functions.conform import conform, require_ansi
 from martloom.operators.checks import require_primary_key
-from martloom.schemas import PRIMARY_KEYS, TABLES, columns_of, create_table_sql, struct_of
+from martloom.schemas import (
+    BUCKETED,
+    KEY_COLUMNS,
+    PRIMARY_KEYS,
+    TABLES,
+    columns_of,
+    create_table_sql,
+    struct_of,
+)
+from martloom.sources.buckets import Buckets, write_bucketed
 from martloom.sources.loads import Load, LoadLog, Move
 from martloom.sources.staging import Staging, hadoop_path
 
@@ -51,8 +62,9 @@ class Warehouse:
             for table in tables:
                 self.spark.sql(
                     create_table_sql(
-                        self.prefix + layer, table, self._slot(table, SLOTS[0]), self.config.key_type
-                    )
+                        self.prefix + layer, table, self._slot(table, SLOTS[0]), self.config.key_type,
+                        buckets.clause() if (buckets := self.buckets_of(table)) else "",
+                    )
                 )
 
     def drop_layers(self) -> None:
@@ -64,6 +76,25 @@ class Warehouse:
         layer = next(name for name, tables in TABLES.items() if table in tables)
         return f"`{self.prefix}{layer}`.`{table}`"
 
+    def buckets_of(self, table: str) -> Buckets | None:
+        if table not in BUCKETED:
+            return None
+        return Buckets(BUCKETED[table], self.config.order_buckets)
+
+    def _require_buckets(self, table: str, buckets: Buckets) -> None:
+        """A table shows files by the number of buckets that it was made with. (One that was made
+        without buckets shows all files.)"""
+        facts = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name_of(table)}")
+        made = facts.filter("col_name = 'Num Buckets'").first()
+        if made is not None and int(made["data_type"]) != buckets.count:
+            raise ValueError(
+                f"{table} was made with {made['data_type']} buckets, order_buckets is {buckets.count}"
+            )
+
+    def _entry_of(self, table: str, path: str) -> str:
+        """The catalog name of a bucketed table's rows in one of its folders."""
+        return f"{self.name_of(table)[:-1]}__{path[-1]}`"
+
     def read_table(self, table: str, query: str = "SELECT * FROM {table}") -> DataFrame:
         """The published rows, or any query over them that names the table {table}."""
         return self.spark.sql(query.replace("{table}", self.name_of(table)))
@@ -82,9 +113,14 @@ class Warehouse:
             path = self._slot(table, self._idle_slot(table))
         names = [name for name, _ in columns_of(table)]
         rows = df.select(*names) if conformed else conform(df, table, self.config.key_type)
-        rows.write.mode("overwrite").parquet(path)
-        schema = struct_of(table, self.config.key_type)
-        written = self.spark.read.schema(schema).parquet(path)
+        buckets = self.buckets_of(table)
+        if buckets:
+            self._require_buckets(table, buckets)
+            written = write_bucketed(rows, self._entry_of(table, path), path, buckets)
+        else:
+            rows.write.mode("overwrite").parquet(path)
+            schema = struct_of(table, self.config.key_type)
+            written = self.spark.read.schema(schema).parquet(path)
         if check_key:
             require_primary_key(written, table)
         self._waiting[table] = path
@@ -142,6 +178,23 @@ class Warehouse:
         system, where = hadoop_path(self.spark, path)
         return system.exists(where)
 
+    def analyze(self, *tables: str) -> None:
+        """Keep row counts of published tables, and what is known of their key columns, in the catalog
+        (all tables by default). Joins of later readers are planned by them if their session has
+        spark.sql.cbo.enabled; a table that moves on loses them. Only key columns are scanned, and
+        none of the raw lines.
+        """
+        names = tables or [table for layer in TABLES.values() for table in layer]
+
+        def count(table: str) -> None:
+            keys = KEY_COLUMNS.get(table)
+            columns = f" FOR COLUMNS {', '.join(keys)}" if keys else ""
+            self.spark.sql(f"ANALYZE TABLE {self.name_of(table)} COMPUTE STATISTICS{columns}")
+
+        inherited = inheritable_thread_target(self.spark)
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            list(pool.map(inherited(count), names))
+
     def load_of(self, table: str) -> str | None:
         """The id of the load whose rows a table shows."""
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name_of(table)}").collect()
@@ -160,8 +213,13 @@ class Warehouse:
             now = self.loads.unfinished()
             if loads == self.loads.published() and now == under_way:
                 break
-        schemas = {t: struct_of(t, self.config.key_type) for t in tables}
-        return {t: self.spark.read.schema(schemas[t]).parquet(places[t]) for t in tables}
+        return {t: self._read_from(t, places[t]) for t in tables}
+
+    def _read_from(self, table: str, path: str) -> DataFrame:
+        entry = self._entry_of(table, path)
+        if table in BUCKETED and self.spark.catalog.tableExists(entry):
+            return self.spark.table(entry)
+        return self.spark.read.schema(struct_of(table, self.config.key_type)).parquet(path)
 
     def discard(self) -> None:
         """Forget what is staged; the next load writes over it."""
