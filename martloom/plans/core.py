@@ -13,19 +13,21 @@ from martloom.config import MartConfig
 from martloom.plans import dims
 from martloom.plans.fact import fact_sales
 
-GRAINS = ("shipping_grain", "place_grain", "product_grain")
+GRAINS = ("shipping_grain", "order_grain", "customer_grain", "place_grain", "product_grain")
 
-# What each table reads besides core_raw; every table stands after those it reads.
+# What each table reads; the grains and the fact read core_raw, too. Every table stands after those it reads.
 NEEDS: dict[str, tuple[str, ...]] = {
     "shipping_grain": (),
+    "order_grain": (),
+    "customer_grain": (),
     "place_grain": (),
     "product_grain": (),
-    "dim_date": ("shipping_grain",),
-    "dim_order": ("dim_date",),
+    "dim_date": ("order_grain", "shipping_grain"),
+    "dim_order": ("order_grain", "dim_date"),
     "dim_ship_mode": ("shipping_grain",),
     "dim_shipment": ("shipping_grain", "dim_date", "dim_ship_mode"),
-    "dim_segment": (),
-    "dim_customer": ("dim_segment",),
+    "dim_segment": ("customer_grain",),
+    "dim_customer": ("customer_grain", "dim_segment"),
     "dim_category": ("product_grain",),
     "dim_sub_category": ("product_grain", "dim_category"),
     "dim_product": ("product_grain", "dim_sub_category", "dim_category"),
@@ -73,16 +75,18 @@ Builder = Callable[[DataFrame, dict[str, DataFrame], MartConfig], DataFrame]
 
 BUILDERS: dict[str, Builder] = {
     "shipping_grain": lambda raw, t, c: dims.shipping_grain(raw),
+    "order_grain": lambda raw, t, c: dims.order_grain(raw),
+    "customer_grain": lambda raw, t, c: dims.customer_grain(raw),
     "place_grain": lambda raw, t, c: dims.place_grain(raw),
     "product_grain": lambda raw, t, c: dims.product_grain(raw),
-    "dim_date": lambda raw, t, c: dims.dim_date(raw, t["shipping_grain"]),
-    "dim_order": lambda raw, t, c: dims.dim_order(raw, t["dim_date"], c),
+    "dim_date": lambda raw, t, c: dims.dim_date(t["order_grain"], t["shipping_grain"]),
+    "dim_order": lambda raw, t, c: dims.dim_order(t["order_grain"], t["dim_date"], c),
     "dim_ship_mode": lambda raw, t, c: dims.dim_ship_mode(t["shipping_grain"], c),
     "dim_shipment": lambda raw, t, c: dims.dim_shipment(
         t["shipping_grain"], t["dim_date"], t["dim_ship_mode"], c
     ),
-    "dim_segment": lambda raw, t, c: dims.dim_segment(raw, c),
-    "dim_customer": lambda raw, t, c: dims.dim_customer(raw, t["dim_segment"], c),
+    "dim_segment": lambda raw, t, c: dims.dim_segment(t["customer_grain"], c),
+    "dim_customer": lambda raw, t, c: dims.dim_customer(t["customer_grain"], t["dim_segment"], c),
     "dim_category": lambda raw, t, c: dims.dim_category(t["product_grain"], c),
     "dim_sub_category": lambda raw, t, c: dims.dim_sub_category(
         t["product_grain"], t["dim_category"], c

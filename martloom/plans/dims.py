@@ -1,9 +1,8 @@
 """The fourteen dimensions.
 
 Each is made from distinct natural keys and only then meets its parent, so joins see one
-row per key and not one per order line. Three small distinct tables ("grains") stand
-between the lines and the dimensions that share columns, so the lines are read once for
-each of them and not once per dimension.
+row per key and not one per order line. Five distinct tables ("grains") stand between the
+lines and the dimensions, so the lines are read once for each of them, and once for the fact.
 
 A parent is looked up by its title alone, which finds several rows when a title stands
 for several parents; strict keys look it up by the whole path instead.
@@ -25,6 +24,14 @@ def shipping_grain(core_raw: DataFrame) -> DataFrame:
     return core_raw.select("ship_date", "ship_mode").distinct()
 
 
+def order_grain(core_raw: DataFrame) -> DataFrame:
+    return core_raw.select("order_id", "order_date").distinct()
+
+
+def customer_grain(core_raw: DataFrame) -> DataFrame:
+    return core_raw.select("customer_id", "customer_name", "segment").distinct()
+
+
 def place_grain(core_raw: DataFrame) -> DataFrame:
     return core_raw.select("country", "region", "state", "city", "postal_code").distinct()
 
@@ -92,10 +99,10 @@ def shipment_path(
 # dimensions
 
 
-def dim_date(core_raw: DataFrame, shipping: DataFrame) -> DataFrame:
+def dim_date(orders: DataFrame, shipping: DataFrame) -> DataFrame:
     """Union of order and ship dates with their calendar columns, numbered in date order."""
     days = (
-        core_raw.select(F.col("order_date").alias("date_origin"))
+        orders.select(F.col("order_date").alias("date_origin"))
         .unionByName(shipping.select(F.col("ship_date").alias("date_origin")))
         .distinct()
     )
@@ -104,15 +111,12 @@ def dim_date(core_raw: DataFrame, shipping: DataFrame) -> DataFrame:
     )
 
 
-def dim_order(core_raw: DataFrame, dates: DataFrame, config: MartConfig) -> DataFrame:
+def dim_order(orders: DataFrame, dates: DataFrame, config: MartConfig) -> DataFrame:
     days = dates.select("date_id", F.col("date_origin").alias("order_date"))
-    orders = (
-        core_raw.select("order_id", "order_date")
-        .distinct()
-        .join(days, "order_date")
-        .select(F.col("order_id").alias("order_id_from_raw"), "date_id")
+    dated = orders.join(days, "order_date").select(
+        F.col("order_id").alias("order_id_from_raw"), "date_id"
     )
-    return surrogate_key(orders, "order_id", ["order_id_from_raw", "date_id"], config.key_buckets)
+    return surrogate_key(dated, "order_id", ["order_id_from_raw", "date_id"], config.key_buckets)
 
 
 def dim_ship_mode(shipping: DataFrame, config: MartConfig) -> DataFrame:
@@ -131,20 +135,17 @@ def dim_shipment(
     return surrogate_key(shipments, "shipment_id", ["date_id", "mode_id"], config.key_buckets)
 
 
-def dim_segment(core_raw: DataFrame, config: MartConfig) -> DataFrame:
-    segments = core_raw.select(F.col("segment").alias("segment_title")).distinct()
+def dim_segment(customers: DataFrame, config: MartConfig) -> DataFrame:
+    segments = customers.select(F.col("segment").alias("segment_title")).distinct()
     return surrogate_key(segments, "segment_id", ["segment_title"], config.key_buckets)
 
 
-def dim_customer(core_raw: DataFrame, segments: DataFrame, config: MartConfig) -> DataFrame:
-    customers = (
-        core_raw.select("customer_id", "customer_name", "segment")
-        .distinct()
-        .join(segments.withColumnRenamed("segment_title", "segment"), "segment")
-        .select(F.col("customer_id").alias("customer_id_from_raw"), "customer_name", "segment_id")
-    )
+def dim_customer(customers: DataFrame, segments: DataFrame, config: MartConfig) -> DataFrame:
+    rows = customers.join(
+        segments.withColumnRenamed("segment_title", "segment"), "segment"
+    ).select(F.col("customer_id").alias("customer_id_from_raw"), "customer_name", "segment_id")
     return surrogate_key(
-        customers,
+        rows,
         "customer_id",
         ["customer_id_from_raw", "customer_name", "segment_id"],
         config.key_buckets,

@@ -100,6 +100,21 @@ def test_no_join_shuffles_unsummed_fact_rows(spark, layer):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_lines_are_read_once_for_each_grain_and_for_the_fact(spark, layer):
+    from martloom.plans.core import GRAINS, build_core
+    from martloom.sources.staging import Staging
+
+    staging, readers = Staging(spark), {}
+
+    def save(name, df):
+        readers[name] = any("/core_raw-" in file for file in df.inputFiles())
+        return staging.save(name, df)
+
+    build_core(layer.lines, layer.config, save)
+    assert {name for name, reads in readers.items() if reads} == {*GRAINS, "fact_sales"}
+    assert len(readers) == len(GRAINS) + 15
+
+
 def test_a_year_of_the_grain_is_a_partition_filter(layer):
     text = plan(mart_sub_category_sales(layer.tables(), "BUILDING", 1998, "ECONOMY", layer.grain()))
     assert re.search(r"FileScan.*PartitionFilters: \[isnotnull\(year#\d+\), \(year#\d+ = 1998\)\]", text)
