@@ -85,12 +85,14 @@ def _thinned(rows: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
 def _variants(words: DataFrame) -> DataFrame:
     """(first, left, at, group, place) of each line's variants. `at` is the word left out, -1 for
     the whole line, `left` the number of words left; equal variants have equal groups, and equal
-    places if the same place was left out, too."""
-    # one line's words stay in the partition of the line: the windows need no shuffle
-    one = words.repartition("key", "check").select(
-        "key", "check", "first", F.size("line_words").alias("n"),
+    places if the same place was left out, too. key, check and line_words stand beside the whole
+    line only."""
+    # `words` come in partitions of (key, check): the windows need no shuffle
+    one = words.select(
+        "key", "check", "first", F.size("line_words").alias("n"), "line_words",
         F.posexplode("line_words").alias("at", "word"),
-    )
+    )
+    one = one.withColumn("line_words", F.when(F.col("at") == 0, F.col("line_words")))
     line = Window.partitionBy("key", "check").orderBy("at")
     before = line.rowsBetween(Window.unboundedPreceding, -1)
     until = line.rowsBetween(Window.unboundedPreceding, 0)
@@ -111,8 +113,14 @@ def _variants(words: DataFrame) -> DataFrame:
     without = F.struct("at", left.alias("left"), F.xxhash64(left, *sums).alias("group"))
     # the first word also stands for the whole line
     both = F.when(F.col("at") == 0, F.array(whole, without)).otherwise(F.array(without))
-    made = one.select("first", both.alias("both")).select("first", F.explode("both").alias("v"))
-    return made.select("first", "v.*", F.xxhash64("v.group", "v.at").alias("place"))
+    made = one.select("key", "check", "first", "line_words", both.alias("both")).select(
+        "key", "check", "first", "line_words", F.explode("both").alias("v")
+    )
+    is_whole = F.col("v.at") < 0
+    return made.select(
+        *[F.when(is_whole, F.col(c)).alias(c) for c in ("key", "check", "line_words")],
+        "first", "v.*", F.xxhash64("v.group", "v.at").alias("place"),
+    )
 
 
 def _without(words: Column, at: Column) -> Column:
@@ -143,25 +151,23 @@ def dropped_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
     # lines that share a half with another line
-    halves = lines.select("key", F.explode("halves").alias("half"))
+    halves = lines.select("key", "check", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("key").alias("low"), F.max("key").alias("high"))
     shared = store.save("shared", shared.filter(F.col("low") != F.col("high")).select("half"))
     likely = _thinned(halves, F.col("half"), shared).join(shared, "half", "left_semi")
-    likely = store.save("likely", likely.select("key").distinct())
+    likely = store.save("likely", likely.select("key", "check").distinct())
 
-    # their words, from where each line stands first
+    # their words, from where each line stands first: copies meet as one row of each task, and the
+    # rows stay in the partitions of (key, check) from here to the variants
     here = _thinned(lines.filter(F.col("n_words") >= NEAR_WORDS), F.col("key"), likely)
-    firsts = _thinned(distinct, F.col("key"), likely).join(likely, "key", "left_semi")
-    words = store.save(
-        "words",
-        here.select("key", "check", _order().alias("first"), "line")
-        .join(firsts.select("key", "check", "first"), ["key", "check", "first"], "left_semi")
-        .dropDuplicates(["key", "check"])
-        .select("key", "check", "first", split_words(F.col("line")).alias("line_words")),
-    )
+    first = F.min(F.struct(_order().alias("first"), "line")).alias("one")
+    found = here.groupBy("key", "check").agg(first).join(likely, ["key", "check"], "left_semi")
+    found = found.select("key", "check", "one.first", split_words(F.col("one.line")).alias("line_words"))
 
     # variants that are not alone: counting needs their keys only
-    variants = store.save("variants", _variants(words))
+    variants = store.save("variants", _variants(found))
+    words = variants.filter(F.col("line_words").isNotNull()).select("key", "check", "first", "line_words")
+    variants = variants.select("first", "left", "at", "group", "place")
     whole, without = F.col("at") < 0, F.col("at") >= 0
     keys = F.when(without, F.array("group", "place")).otherwise(F.array("group"))
     keys = variants.select(F.explode(keys).alias("shared_key"))
@@ -198,8 +204,12 @@ def dropped_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         left = _without(F.col(column), F.greatest(F.col(at), F.lit(0)))
         return F.when(F.col(at) < 0, F.col(column)).otherwise(left)
 
-    mine = words.select("key", "check", "first", F.col("line_words").alias("mine"))
-    others = words.select(F.col("first").alias("other"), F.col("line_words").alias("others"))
+    def needed(column: str) -> DataFrame:
+        wanted = earlier.select(F.xxhash64(column).alias("wanted"))
+        return _thinned(words, F.xxhash64("first"), wanted)
+
+    mine = needed("first").select("key", "check", "first", F.col("line_words").alias("mine"))
+    others = needed("other").select(F.col("first").alias("other"), F.col("line_words").alias("others"))
     near = (
         earlier.join(mine, "first")
         .join(others, "other")
