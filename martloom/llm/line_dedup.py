@@ -219,7 +219,10 @@ def dropped_lines(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     near = store.save("near", near)
 
-    repeated = distinct.join(near, ["key", "check"], "left")
+    # lines with a copy, and those that may have a near one: the others meet no join
+    single = F.col("copies") == 1
+    hopeful = distinct.filter(~single).unionByName(_thinned(distinct.filter(single), F.col("key"), near))
+    repeated = hopeful.join(near, ["key", "check"], "left")
     repeated = store.save("repeated", repeated.filter((F.col("copies") > 1) | F.col("near")))
     columns = ["doc_id", "text_key", "line_no", "n_words", "key", "check"]
     placed = lines.select(columns)
