@@ -1,10 +1,11 @@
 """Token ids in files, compressed by Re-Pair grammars with random access.
 
 Documents are encoded, put in order of their id, and cut into shards of about a million ids. In
-each shard the most frequent pairs of neighbouring ids are replaced by nonterminals, again and
-again; a pair never reaches over the end of a document. A shard stores its rules, how many ids
-each rule stands for, the shortened sequence and where each document starts in it, so one
-document is decoded without the others. Shards are rows of a Parquet table:
+each shard the most frequent pairs of neighbouring symbols are replaced by nonterminals, again
+and again until no pair occurs LEAST_PAIRS times; a pair never reaches over the end of a
+document. A shard stores its rules, how many ids each rule stands for, the shortened sequence
+and where each document starts in it, so one document is decoded without the others. Shards
+are rows of a Parquet table:
 
     part, shard        number of the partition (in order of doc_id) and of the shard in it
     first_token        ids of all documents of the partition before the shard
@@ -30,26 +31,30 @@ from struct import pack
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from martloom.llm.bpe import PIECE as _PIECE, PLAIN as _PLAIN, Chunks, byte_characters
 
 END_ID = 1
 SHARD_IDS = 1 << 20
-ROUNDS = 2
-# New rules in a round, and how often a pair must occur to become one.
+# Rules made at a time: those of the most frequent pairs first, the next ones in a later round.
 ROUND_RULES = 4096
+# How often a pair must occur to become a rule. A rule takes 12 bytes and each use saves 2 or 4:
+# rarer pairs save little or nothing, as not every occurrence can be used.
 LEAST_PAIRS = 12
 
 _MAGIC = b"RPG1"
 _HASHED = 1 << 20
 
 
-def _frequent(codes: np.ndarray) -> np.ndarray:
+def _frequent(codes: np.ndarray, least: int) -> np.ndarray:
     """The most frequent pair codes, sorted. Equally frequent ones: the smaller first."""
     ordered = np.sort(codes)
+    if not len(ordered):
+        return ordered
     starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     counts = np.diff(np.concatenate([starts, [len(ordered)]]))
-    often = counts >= LEAST_PAIRS
+    often = counts >= least
     starts, counts = starts[often], counts[often]
     best = np.argsort(-counts, kind="stable")[:ROUND_RULES]
     return np.sort(ordered[starts[best]])
@@ -65,40 +70,50 @@ def _alternate(places: np.ndarray) -> np.ndarray:
     return (number - begin) % 2 == 0
 
 
-def compress(ids: np.ndarray, sizes: np.ndarray, rounds: int = ROUNDS) -> bytes:
-    """The binary form of documents of the given sizes, one after another. No size may be 0."""
-    sequence = ids.astype(np.int64)
+def compress(ids: np.ndarray, sizes: np.ndarray, least: int = LEAST_PAIRS) -> bytes:
+    """The binary form of documents of the given sizes, one after another. No size may be 0.
+    No pair is left that occurs `least` times or more.
+
+    After the first round only pairs with a symbol of the round before are counted: others were
+    counted then, and only lose occurrences. Those that had to wait are found by one more count of
+    all pairs at the end, which starts the rounds again if there are any.
+    """
+    sequence = ids.astype(np.uint32)
     last = np.zeros(len(sequence), bool)  # ends of documents; ids cannot tell
     last[np.cumsum(sizes) - 1] = True
     alphabet = int(sequence.max()) + 1 if len(sequence) else 0
     rules: list[np.ndarray] = []
     lengths = np.ones(alphabet, np.int64)
     symbols = alphabet
-    for _ in range(rounds):
-        if len(sequence) < 2:
-            break
+    new = 0  # symbols from here on are counted
+    while len(sequence) > 1:
         # symbols of 16 bits, as of most vocabularies, make codes that sort faster
         wide = symbols > 1 << 16
-        codes = ((sequence[:-1] << (32 if wide else 16)) | sequence[1:]).astype(
-            np.uint64 if wide else np.uint32
-        )
-        inside = ~last[:-1]
-        chosen = _frequent(codes[inside])
+        shift = 32 if wide else 16
+        places = ~last[:-1]
+        if new:
+            fresh = sequence >= new
+            places &= fresh[:-1] | fresh[1:]
+        places = np.flatnonzero(places)
+        kind = np.uint64 if wide else np.uint32
+        codes = (sequence[places].astype(kind) << kind(shift)) | sequence[places + 1]
+        chosen = _frequent(codes, least)
         if not len(chosen):
-            break
+            if not new:
+                break
+            new = 0
+            continue
         # a table by hash gives each place its rule; of two pairs with one hash, one must wait
         table = np.full(_HASHED, -1, np.int32)
         table[_hashed(chosen)] = np.arange(len(chosen))
         rank = table[_hashed(codes)]
-        places = np.flatnonzero(inside & (rank >= 0))
-        rank = rank[places]
-        exact = chosen[rank] == codes[places]
+        exact = np.flatnonzero(rank >= 0)
+        exact = exact[chosen[rank[exact]] == codes[exact]]
         places, rank = places[exact], rank[exact]
         use = _alternate(places)
         places, rank = places[use], rank[use]
         used, number = np.unique(rank, return_inverse=True)
         pairs = chosen[used].astype(np.int64)
-        shift = 32 if wide else 16
         pairs = np.stack([pairs >> shift, pairs & ((1 << shift) - 1)], axis=1)
         sequence[places] = symbols + number
         keep = np.ones(len(sequence), bool)
@@ -107,6 +122,7 @@ def compress(ids: np.ndarray, sizes: np.ndarray, rounds: int = ROUNDS) -> bytes:
         sequence, last = sequence[keep], last[keep]
         rules.append(pairs)
         lengths = np.concatenate([lengths, lengths[pairs].sum(axis=1)])
+        new = symbols
         symbols += len(pairs)
     every = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     ends = np.flatnonzero(last) + 1
@@ -153,6 +169,16 @@ class Shard:
             symbols = out
         return symbols.astype("<u4")
 
+    def ids(self) -> np.ndarray:
+        """The ids of all documents: every rule is expanded once, and copied where it stands."""
+        rules = np.arange(self.alphabet, self.alphabet + len(self.rules))
+        written = np.concatenate([np.arange(self.alphabet, dtype="<u4"), self.expand(rules)])
+        begin = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
+        sizes = self.lengths[self.sequence]
+        ends = np.cumsum(sizes)
+        shift = begin[self.sequence] - (ends - sizes)
+        return written[np.repeat(shift, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
     def document(self, number: int) -> np.ndarray:
         """The ids of one document; only its part of the sequence is read."""
         return self.expand(self.sequence[self.starts[number] : self.starts[number + 1]])
@@ -180,18 +206,22 @@ class _Ids:
         self.model = self.library.model
         self.as_character = dict(enumerate(byte_characters()))
         self.remembered = Chunks(self.encode)
+        self.pieces = Chunks(self.piece)
+
+    def piece(self, text: str) -> bytes:
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(self.as_character)
+        ids = [t.id for t in self.model.tokenize(text)]
+        return pack(f"<{len(ids)}I", *ids)
 
     def encode(self, chunk: bytes) -> bytes:
         """Chunks of Latin letters and ASCII marks have plain pieces, which go to the library's
-        model at once; all others through the whole of the library."""
+        model at once and are remembered, too: many chunks differ in their marks only. All others
+        go through the whole of the library."""
         text = chunk.decode()
         if len(text) < 200 and _PLAIN.fullmatch(text) and "<|" not in text:
-            pieces = _PIECE.findall(text.lower())
-            if not text.isascii():
-                pieces = [p.encode().decode("latin-1").translate(self.as_character) for p in pieces]
-            ids = [t.id for piece in pieces for t in self.model.tokenize(piece)]
-        else:
-            ids = self.library.encode(text, add_special_tokens=False).ids
+            return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text.lower())))
+        ids = self.library.encode(text, add_special_tokens=False).ids
         return pack(f"<{len(ids)}I", *ids)
 
     def of(self, text: bytes | None) -> bytes:
@@ -209,7 +239,9 @@ def _library(text: str) -> _Ids:
 
 def write_shards(documents: DataFrame, tokenizer: str, path: str, shard_ids: int = SHARD_IDS) -> None:
     """Encode all documents and write them to `path` in ascending order of doc_id, rows without
-    an id first. Repeated rows are documents of their own; null text has END_ID only.
+    an id first, those of one id by the hash of their text. Repeated rows are documents of their
+    own; null text has END_ID only. Any number of rows may share an id, or be equal: ranges end
+    within them, too.
 
     Texts are put in order before they are encoded: they are what Spark samples and shuffles,
     and encoding, compressing and writing are one pass over each range of ids.
@@ -219,12 +251,13 @@ def write_shards(documents: DataFrame, tokenizer: str, path: str, shard_ids: int
         shared = spark.sparkContext.broadcast(file.read())
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
-        documents.select("doc_id", "text")
-        .repartitionByRange(partitions, "doc_id")
-        .sortWithinPartitions("doc_id", F.xxhash64("text"))
+        documents.select("doc_id", "text", F.xxhash64("text").alias("key"), F.monotonically_increasing_id().alias("row"))
+        .repartitionByRange(partitions, "doc_id", "key", "row")
+        .sortWithinPartitions("doc_id", "key", "row")
+        .select("doc_id", "text")
     )
     kind = documents.schema["doc_id"].dataType.simpleString()
-    doc_type = pa.int32() if kind == "int" else pa.int64() if kind == "bigint" else pa.string()
+    doc_type = to_arrow_type(documents.schema["doc_id"].dataType)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = _library(shared.value)
@@ -288,7 +321,7 @@ def read_documents(spark, path: str) -> DataFrame:
                 shard = Shard(grammar.as_py())
                 sizes = shard.sizes()
                 starts = before[part] + first + np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                ids = shard.expand(shard.sequence)
+                ids = shard.ids()
                 sums = [zlib.crc32(x) for x in np.split(ids, np.cumsum(sizes)[:-1])]
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids.values, pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64())],

@@ -3,6 +3,7 @@ rows, empty tables and columns whose names clash."""
 
 from __future__ import annotations
 
+import decimal
 import hashlib
 import random
 import re
@@ -390,6 +391,37 @@ def test_grammar_round_trip():
     assert len(repair.compress(repeated, np.array([60000]))) < repeated.nbytes / 4
 
 
+@pytest.mark.parametrize("alphabet", [40, 70_000])
+def test_grammars_run_until_no_pair_is_frequent(alphabet):
+    rng = np.random.default_rng(8)
+    text = rng.integers(2, alphabet, 2000).astype("<u4")
+    copies = repair.Shard(repair.compress(np.tile(text, 500), np.full(500, 2000)))
+    assert len(copies.sequence) <= 1000
+    assert (copies.ids() == np.tile(text, 500)).all()
+    for skew in (1.1, 3.0):
+        ids = np.minimum(rng.zipf(skew, 40_000) + 1, alphabet).astype("<u4")
+        sizes = np.full(400, 100)
+        shard = repair.Shard(repair.compress(ids, sizes, least=5))
+        assert (shard.ids() == ids).all() and shard.document(7).tolist() == ids[700:800].tolist()
+        pairs = Counter()
+        for a, b in zip(shard.starts, shard.starts[1:], strict=False):
+            pairs.update(zip(shard.sequence[a : b - 1].tolist(), shard.sequence[a + 1 : b].tolist(), strict=True))
+        assert max(pairs.values(), default=0) < 5
+
+
+def test_shards_of_one_hot_id_are_spread(spark):
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = [(decimal.Decimal(5), f"text {i % 3}") for i in range(3000)] + [(None, "x")] * 1000
+    docs = spark.createDataFrame(rows, "doc_id decimal(5,0), text string").repartition(4)
+    path = f"{common.staging(spark).root}/shards"
+    repair.write_shards(docs, common.vocabulary_path(), path, shard_ids=500)
+    found = repair.read_documents(spark, path).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == [None] * 1000 + [5] * 3000
+    assert [r["start"] for r in found] == np.cumsum([0] + [r["n_tokens"] for r in found])[:-1].tolist()
+    most = spark.read.parquet(path).groupBy("part").agg({"n_tokens": "sum"}).collect()
+    assert len(most) == partitions and max(r[1] for r in most) < 3 * sum(r[1] for r in most) / partitions
+
+
 def test_shards_keep_order_and_sums(spark, edges, nothing, library):
     path = f"{common.staging(spark).root}/shards"
     repair.write_shards(edges, common.vocabulary_path(), path, shard_ids=50)
