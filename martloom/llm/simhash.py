@@ -11,8 +11,8 @@ two bits of each other have a common neighbour one bit away, so those that share
 are a star. That is linear in the members of the key, and loses no link. For larger distances
 the stars are those of neighbours up to half the distance away.
 
-A distance of a few bits stands for a similarity far above 0.8. `one_of_each` therefore also
-links the documents that `resemblance` finds.
+A distance of a few bits stands for a similarity far above 0.8. Where that is too strict, the
+documents that `resemblance` finds can be linked, too, if asked for.
 """
 
 from __future__ import annotations
@@ -225,13 +225,14 @@ def near_duplicates(
     return rows.join(named, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
-def one_of_each(documents: DataFrame, shingle_words: int = 5, distance: int = 3) -> DataFrame:
-    """The documents without near duplicates, those of a Jaccard similarity of 0.8 or more
-    included: of each component the row with the smallest id
-    stays, of rows without an id the one with the smallest text key, and one of repeated rows.
-    All columns stay as they are."""
+def one_of_each(
+    documents: DataFrame, shingle_words: int = 3, distance: int = 2, resembling: bool = False
+) -> DataFrame:
+    """The documents without near duplicates, as `near_duplicates` finds them: of each component
+    the row with the smallest id stays, of rows without an id the one with the smallest text key,
+    and one of repeated rows. All columns stay as they are."""
     store = staging(documents.sparkSession)
-    rows = store.save("components", near_duplicates(documents, shingle_words, distance, True))
+    rows = store.save("components", near_duplicates(documents, shingle_words, distance, resembling))
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
     kept = rows.groupBy("root").agg(F.min(order).alias("kept")).select("kept.doc_id", "kept.text_key")
     copies = rows.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies"))

@@ -46,8 +46,8 @@ def test_pipeline_rows(spark):
     dropped = slow_dropped(list(docs.items()))
     docs = {i: without(t, dropped[(i, t)]) for i, t in docs.items()}
     docs = {i: t for i, t in docs.items() if words(t)}
-    prints = {i: slow_fingerprint(t, 5) for i, t in docs.items()}
-    group = slow_components(prints.values(), lambda a, b: (a ^ b).bit_count() <= 3)
+    prints = {i: slow_fingerprint(t, 3) for i, t in docs.items()}
+    group = slow_components(prints.values(), lambda a, b: (a ^ b).bit_count() <= 2)
     first = {}
     for i in sorted(docs):
         first.setdefault(group[prints[i]], i)

@@ -42,7 +42,7 @@ def test_one_of_each_reaches_a_jaccard_similarity_of_four_fifths(spark, seed):
     )
     assert beyond > 20
     group = slow_components(range(len(texts)), linked)
-    kept = simhash.one_of_each(clashing(spark, docs)).collect()
+    kept = simhash.one_of_each(clashing(spark, docs), 5, 3, resembling=True).collect()
     assert sorted(r["doc_id"] for r in kept) == sorted(set(group.values()))
 
 
@@ -50,7 +50,7 @@ def test_a_crowd_of_near_copies_is_one_group(spark):
     rng = random.Random(3)
     base = [f"w{i}" for i in range(200)]
     docs = [(i, " ".join(edited(rng, base, 2))) for i in range(300)]
-    kept = simhash.one_of_each(spark.createDataFrame(docs, DOCS)).collect()
+    kept = simhash.one_of_each(spark.createDataFrame(docs, DOCS), 5, 3, resembling=True).collect()
     assert [r["doc_id"] for r in kept] == [0]
 
 
