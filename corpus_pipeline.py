@@ -19,8 +19,8 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: sets of five-word shingles with a Jaccard
-    similarity of 0.8 or more, or fingerprints that differ in three bits or fewer."""
+    """One document of each group whose fingerprints of three-word shingles are linked by two
+    differing bits or fewer, as op4 links them."""
     return simhash.one_of_each(docs)
 
 
