@@ -10,10 +10,16 @@ A low score alone is no proof, and the more tokens a corpus has, the more low sc
 by chance. Ordinary long words, letters of one case alone, show how often: of the words of the
 same length class, the share with a score as low is the p-value of a token. A corpus may have few
 such words or none, so a fixed reference stands beside them and weighs as much as 1/share of them:
-scores of words made up from the frequencies of letters, at the lower end of the class, where
-scores are lowest. The Benjamini-Hochberg rule, applied to each length class over the whole corpus, sets the score up to
+the odds that a word made up from the frequencies of letters scores as low, at the lower end of the
+class, where scores are lowest. Such odds are far smaller than what plain draws can show; they come
+from draws that lean towards even letters, each counted by how likely a made-up word it is.
+
+Paths, names of several words and other tokens whose characters keep to one kind for long, or that
+have letters of one case only where an encoding has both, are no hypotheses: they are told by
+their build, not by their score. The
+Benjamini-Hochberg rule, applied to each length class over the whole corpus, sets the score up to
 which tokens are reported so that the expected share of false ones stays below a bound. Only
-counts per length class and score, a few hundred numbers at any size, come to the driver.
+counts per length class and score, a few thousand numbers at any size, come to the driver.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom.llm.common import staging, text_key
 
@@ -41,7 +47,10 @@ _ORDER = {k: i for i, k in enumerate(BASE_KINDS + RANDOM_KINDS)}
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 # Lower ends of the length classes.
-LENGTHS = (20, 24, 32, 48, 96)
+LENGTHS = (20, 22, 24, 26, 28, 30, 32, 36, 40, 44, 48, 56, 64, 80, 96)
+# Mean stretch of characters of one kind (small letters, also after a capital; capitals; digits;
+# marks) from which a token counts as built of words; random ones have 2.1 on average.
+STRETCH = 3
 BINS = 9
 # Score steps per decade of the combined p-value, and the highest score kept apart.
 STEPS, HIGHEST = 10, 300
@@ -52,7 +61,9 @@ LETTERS = {
     "e": 151, "a": 87, "n": 77, "s": 73, "i": 74, "r": 66, "t": 67, "o": 61, "l": 47, "d": 45, "u": 46, "c": 34,
     "m": 28, "h": 32, "p": 23, "g": 19, "b": 16, "f": 14, "v": 13, "w": 11, "y": 9, "q": 6, "k": 7, "z": 6, "j": 4, "x": 3,
 }
-MADE_UP, MADE_UP_SEED = 2000, 42
+MADE_UP, MADE_UP_SEED = 600, 42
+# How far draws of made-up words lean to even letters: as many words for each.
+LEANINGS = (0.0, 0.25, 0.5, 0.75, 1.0)
 
 _HEX = "0123456789abcdef"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -78,18 +89,37 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return sorted(found, key=lambda s: (s[0], _ORDER[s[1]]))
 
 
+def _kind_of(c: str) -> str:
+    return "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "-"
+
+
+def _one_case(word: str) -> bool:
+    return word[1:].islower() or word.isupper()
+
+
+def built(body: str) -> bool:
+    """Whether a token in the base64 alphabets looks put together from words: letters of one case
+    at most, or long stretches of one kind of character. About 1 random token in 20 of 20
+    characters has such stretches, 1 in 40 of 40 characters: those are not found. Names put together
+    from many short pieces and digits are not told by this and can be reported."""
+    kinds = [_kind_of(c) for c in body]
+    pairs = zip(kinds, kinds[1:], strict=False)
+    stretches = 1 + sum(x != y and (x, y) != ("A", "a") for x, y in pairs)
+    return not {"a", "A"} <= set(kinds) or len(body) >= STRETCH * stretches
+
+
 def inferred(token: str) -> str | None:
     """The narrowest encoding whose alphabet holds the token, padding aside; None for words:
-    letters that are all small, all capital, or small after one capital."""
+    letters that are all small, all capital, or small after one capital; and for tokens `built`
+    of words."""
     body = token.rstrip("=")
-    rest = body[1:]
-    if body.isalpha() and (rest.islower() or body.isupper()):
+    if body.isalpha() and _one_case(body):
         return None
     low = body.lower() if body.isupper() or not any(c.isupper() for c in body) else body
     for kind in RANDOM_KINDS:
         places = _PLACES[kind]
         if all(c in places for c in (low if kind == "random_hex" else body)):
-            return kind
+            return None if kind in ("random_base64", "random_base64url") and built(body) else kind
     return None
 
 
@@ -172,7 +202,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rated = score(m.group(), kind or "random_base64")
                 if kind:
                     found.append({"kind": kind, "start": a, "end": b, "score": rated})
-                elif m.group().isalpha():
+                elif m.group().isalpha() and _one_case(m.group()):
                     found.append({"kind": None, "start": a, "end": b, "score": rated})
             tokens.append(found)
         yield pa.RecordBatch.from_arrays(
@@ -183,22 +213,31 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @lru_cache
 def reference(size: int) -> tuple[float, ...]:
-    """Share of made-up words of `size` letters that score at most each step. Beyond what so few
-    words can show, a normal curve through their scores carries the share on."""
+    """Odds that a made-up word of `size` letters scores at most each step, two standard errors
+    added. Words are drawn from a mixture of the letters' frequencies and ever more even ones, and
+    weighed by their odds under the frequencies over those under the mixture: at most as much as
+    there are leanings, so that no single word decides."""
     draw = random.Random(MADE_UP_SEED)
-    letters, weights = list(LETTERS), list(LETTERS.values())
-    made = ["".join(draw.choices(letters, weights, k=size)) for _ in range(MADE_UP)]
-    rated = [score(word, "random_base64") for word in made]
-    mean = sum(rated) / MADE_UP
-    spread = math.sqrt(sum((x - mean) ** 2 for x in rated) / MADE_UP)
-    counts = [0] * (HIGHEST + 1)
-    for x in rated:
-        counts[x] += 1
-    shares, low = [], 0
-    for step in range(HIGHEST + 1):
-        low += counts[step]
-        normal = math.erfc((mean - step - 0.5) / (spread * math.sqrt(2))) / 2
-        shares.append(max(low / MADE_UP, normal))
+    total = sum(LETTERS.values())
+    letters, plain = list(LETTERS), [n / total for n in LETTERS.values()]
+    logs = []
+    for lean in LEANINGS:
+        powers = [p ** (1 - lean) for p in plain]
+        logs.append({c: math.log(p / sum(powers)) for c, p in zip(letters, powers, strict=True)})
+    weights: list[list[float]] = [[] for _ in range(HIGHEST + 1)]
+    for log in logs:
+        odds = [math.exp(log[c]) for c in letters]
+        for _ in range(MADE_UP):
+            word = draw.choices(letters, odds, k=size)
+            own = [sum(map(q.__getitem__, word)) for q in logs]
+            mixed = sum(math.exp(x - own[0]) for x in own) / len(logs)
+            weights[score("".join(word), "random_base64")].append(1 / mixed)
+    drawn = MADE_UP * len(logs)
+    shares, low, squares = [], 0.0, 0.0
+    for step in weights:
+        low += sum(step)
+        squares += sum(w * w for w in step)
+        shares.append(min((low + 2 * math.sqrt(squares)) / drawn, 1.0))
     return tuple(shares)
 
 
@@ -226,6 +265,14 @@ def thresholds(counts: list[tuple[int, bool, int, int]], share: float = FALSE_SH
     return found
 
 
+def _level(size: Column) -> Column:
+    """`length_class` as a column."""
+    level = F.lit(LENGTHS[0])
+    for low in LENGTHS[1:]:
+        level = F.when(size >= low, low).otherwise(level)
+    return level
+
+
 def scan(documents: DataFrame, share: float = FALSE_SHARE) -> DataFrame:
     """(doc_id, text_key, base, spans) of every row, repeated rows too: arrays of (kind, start,
     end) in code points, end exclusive, by start and then kind. `base` are the patterns' matches,
@@ -239,10 +286,7 @@ def scan(documents: DataFrame, share: float = FALSE_SHARE) -> DataFrame:
         "read", rows.mapInArrow(_read, f"doc_id {kind}, text_key bigint, base {span}, tokens {tokens}")
     )
     token = read.select(F.explode("tokens").alias("t")).select("t.*")
-    size = F.col("end") - F.col("start")
-    level = F.lit(LENGTHS[0])
-    for low in LENGTHS[1:]:
-        level = F.when(size >= low, low).otherwise(level)
+    level = _level(F.col("end") - F.col("start"))
     counts = (
         token.groupBy(level.alias("size"), F.col("kind").isNull().alias("word"), "score")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -250,15 +294,13 @@ def scan(documents: DataFrame, share: float = FALSE_SHARE) -> DataFrame:
     )
     limits = thresholds([(r["size"], r["word"], r["score"], r["n"]) for r in counts], share)
 
+    known = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]) if limits else None
+
     def reported(t):
-        found = t["end"] - t["start"]
-        held = F.lit(False)
-        for low, limit in sorted(limits.items()):
-            above = [n for n in LENGTHS if n > low]
-            inside = found >= low if low != LENGTHS[0] else F.lit(True)
-            inside = inside & (found < above[0]) if above else inside
-            held = held | (inside & (t["score"] <= limit))
-        return t["kind"].isNotNull() & held
+        if known is None:
+            return F.lit(False)
+        limit = F.element_at(known, _level(t["end"] - t["start"]))
+        return t["kind"].isNotNull() & F.coalesce(t["score"] <= limit, F.lit(False))
 
     def plain(t):
         return F.struct(t["kind"].alias("kind"), t["start"].alias("start"), t["end"].alias("end"))
