@@ -1,4 +1,4 @@
-"""The size of an equality join, worked out before it runs."""
+"""Sizes of equality joins and their sides, worked out before they run."""
 
 from __future__ import annotations
 
@@ -34,3 +34,10 @@ def join_size(child: DataFrame, parent: DataFrame, keys: list[str], *labels: Col
         F.count_if(found > 1).alias("repeated_keys"),
         F.coalesce(F.max(found), zero).alias("most_parents"),
     )
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark broadcasts a join side by its size: at most
+    spark.sql.autoBroadcastJoinThreshold bytes by files or statistics."""
+    most = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= most

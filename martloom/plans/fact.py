@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom.config import MartConfig
 from martloom.functions.money import effective_discount
+from martloom.operators.join_size import fits_broadcast
 from martloom.plans.dims import (
     city_path,
     region_path,
@@ -36,6 +37,56 @@ _STRICT_KEYS = [
 ]
 
 
+# Whole natural keys, parents first: dimension, its columns that the lines get, its key, each
+# under the name that the lines have for it.
+_STRICT_STEPS: list[tuple[str, dict[str, str], dict[str, str]]] = [
+    ("dim_date", {"date_id": "ship_date_id"}, {"date_origin": "ship_date"}),
+    ("dim_ship_mode", {"mode_id": "mode_id"}, {"mode_title": "ship_mode"}),
+    ("dim_shipment", {"shipment_id": "shipment_id"}, {"date_id": "ship_date_id", "mode_id": "mode_id"}),
+    ("dim_country", {"country_id": "country_id"}, {"country_title": "country"}),
+    ("dim_region", {"region_id": "region_id"}, {"region_title": "region", "country_id": "country_id"}),
+    ("dim_state", {"state_id": "state_id"}, {"state_title": "state", "region_id": "region_id"}),
+    ("dim_city", {"city_id": "city_id"}, {"city_title": "city", "state_id": "state_id"}),
+    (
+        "dim_postal_code",
+        {"postal_code_id": "postal_code_id"},
+        {"postal_code": "postal_code", "city_id": "city_id"},
+    ),
+    ("dim_category", {"category_id": "category_id"}, {"category_name": "category"}),
+    (
+        "dim_sub_category",
+        {"sub_category_id": "sub_category_id"},
+        {"sub_category_title": "sub_category", "category_id": "category_id"},
+    ),
+    (
+        "dim_product",
+        {"product_id": "product_id", "price": "price"},
+        {
+            "product_id_from_raw": "product_id_from_raw",
+            "product_name": "product_name",
+            "sub_category_id": "sub_category_id",
+        },
+    ),
+    ("dim_segment", {"segment_id": "segment_id"}, {"segment_title": "segment"}),
+    (
+        "dim_customer",
+        {"customer_id": "customer_id"},
+        {
+            "customer_id_from_raw": "customer_id_from_raw",
+            "customer_name": "customer_name",
+            "segment_id": "segment_id",
+        },
+    ),
+    ("dim_date", {"date_id": "order_date_id"}, {"date_origin": "order_date"}),
+    (
+        "dim_order",
+        {"order_id": "order_id"},
+        {"order_id_from_raw": "order_id_from_raw", "date_id": "order_date_id"},
+    ),
+]
+
+_SUMS = {"sum_of_sale": "sales", "quantity": "quantity", "profit": "profit"}
+
 # core_raw columns under the names that dimensions have for them
 _RENAMED = {
     "order_id": "order_id_from_raw",
@@ -87,15 +138,12 @@ def fact_parents(
 
 def summed_lines(core_raw: DataFrame, config: MartConfig) -> DataFrame:
     """Lines summed per natural key of the fact, under the names of the dimensions."""
-    return (
-        core_raw.groupBy(*_LINE_KEYS, *(_STRICT_KEYS if config.strict_keys else []))
-        .agg(
-            F.sum("sales").alias("sum_of_sale"),
-            F.sum("quantity").alias("quantity"),
-            F.sum("profit").alias("profit"),
-        )
-        .withColumnsRenamed(_RENAMED)
-    )
+    keys = _LINE_KEYS + (_STRICT_KEYS if config.strict_keys else [])
+    return core_raw.groupBy(*keys).agg(*_sums()).withColumnsRenamed(_RENAMED)
+
+
+def _sums() -> list[Column]:
+    return [F.sum(column).alias(name) for name, column in _SUMS.items()]
 
 
 def lines_with_keys(core_raw: DataFrame) -> DataFrame:
@@ -103,6 +151,38 @@ def lines_with_keys(core_raw: DataFrame) -> DataFrame:
     return core_raw.withColumnsRenamed(_RENAMED)
 
 
+def summed_by_ids(core_raw: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Lines with ids for their whole natural keys, and the price of their product, summed per id.
+
+    The written dimensions are dictionaries: each takes the place of its texts by its id, a
+    parent before its children, which then are found by that id. Where Spark will broadcast a
+    dimension, by its size, that happens before the lines are summed, so that they are
+    shuffled by numbers. A larger dimension, joined with parents of it that are too large
+    themselves, meets the sums: no line is shuffled to meet a dimension. A whole key is one row
+    of its dimension, so neither order changes the rows.
+    """
+    lines = core_raw.select(
+        *_LINE_KEYS, *_STRICT_KEYS, *[F.col(c) for c in _SUMS.values()]
+    ).withColumnsRenamed(_RENAMED)
+    later: dict[str, tuple[DataFrame, list[str]]] = {}  # by the id that the lines get
+    for table, gained, key in _STRICT_STEPS:
+        named = [F.col(c).alias(name) for c, name in {**gained, **key}.items()]
+        dictionary, found_by = tables[table].select(*named), list(key.values())
+        if set(found_by) <= set(lines.columns) and fits_broadcast(dictionary):
+            lines = lines.join(dictionary, found_by).drop(*found_by)
+            continue
+        for parent in [c for c in found_by if c in later]:
+            above, path = later.pop(parent)
+            dictionary = dictionary.join(above, parent).drop(parent)
+            found_by = [c for c in found_by if c != parent] + path
+        later[next(iter(gained.values()))] = dictionary, found_by
+    keys = [c for c in lines.columns if c not in _SUMS.values()]
+    summed = lines.groupBy(*keys).agg(*_sums())
+    for dictionary, found_by in later.values():
+        summed = summed.join(dictionary, found_by).drop(*found_by)
+    return summed
+
+
 def fact_sales(
     core_raw: DataFrame, tables: dict[str, DataFrame], config: MartConfig
 ) -> DataFrame:
@@ -117,11 +197,15 @@ def fact_sales(
     product has one price, so it too comes from the summed quantity.
 
     The joins are left to Spark: written dimensions have sizes, small ones are broadcast,
-    big ones are merged with skewed keys split at run time.
+    big ones are merged with skewed keys split at run time. With strict keys, ids of small
+    dimensions take the place of texts before the sum (`summed_by_ids`).
     """
-    keyed = summed_lines(core_raw, config)
-    for parent, key in fact_parents(tables, config).values():
-        keyed = keyed.join(parent, key)
+    if config.strict_keys:
+        keyed = summed_by_ids(core_raw, tables)
+    else:
+        keyed = summed_lines(core_raw, config)
+        for parent, key in fact_parents(tables, config).values():
+            keyed = keyed.join(parent, key)
     return keyed.select(
         "order_id",
         "shipment_id",

@@ -199,3 +199,47 @@ def test_joins_of_later_readers_are_planned_by_counts(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.cbo.enabled")
         warehouse.drop_layers()
+
+
+def test_strict_lines_are_shuffled_by_ids_and_meet_large_dimensions_as_sums(spark):
+    from compare import spark_bag
+
+    from martloom.plans.fact import fact_parents, fact_sales, summed_by_ids, summed_lines
+
+    strict = core_layer(spark, FOLDER, "shared_all", strict=True)
+    tables, found = strict.tables(), {}
+
+    def first_sum(text):
+        rows = text.split("\n")
+        depth = [len(row) - len(row.lstrip(" :+-")) for row in rows]
+        at = next(i for i, row in enumerate(rows) if "functions=[partial_sum" in row)
+        end = next((i for i in range(at + 1, len(rows)) if depth[i] <= depth[at]), len(rows))
+        keys = re.findall(r"([a-z_]+)#\d+", rows[at].split("functions=")[0])
+        return set(keys), "\n".join(rows[:at] + rows[end:]), "\n".join(rows[at + 1 : end])
+
+    texts = summed_lines(strict.lines, strict.config)
+    for parent, key in fact_parents(tables, strict.config).values():
+        texts = texts.join(parent, key)
+    found["texts"] = spark_bag(texts.select("order_id", "customer_id", "product_id", "price", "quantity", "sum_of_sale"))
+    try:
+        # all dimensions are small; some are; none is
+        for most, early in ((10 << 20, 15), (3000, None), (-1, 0)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(most))
+            text = plan(summed_by_ids(strict.lines, tables))
+            keys, above, below = first_sum(text)
+            joins = below.count("BroadcastHashJoin")
+            assert "SortMergeJoin" not in below and "hashpartitioning" not in below
+            assert joins + above.count("BroadcastHashJoin") + above.count("SortMergeJoin") == 15
+            if early is None:
+                assert 0 < joins < 15
+            else:
+                assert joins == early
+            if joins == 15:
+                ids = "shipment_id postal_code_id product_id price customer_id order_id"
+                assert keys == set(ids.split())
+            sums = summed_by_ids(strict.lines, tables)
+            found[most] = spark_bag(sums.select("order_id", "customer_id", "product_id", "price", "quantity", "sum_of_sale"))
+        assert all(bag == found["texts"] for bag in found.values())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert fact_sales(strict.lines, tables, strict.config).count() == summed_by_ids(strict.lines, tables).count()
