@@ -17,11 +17,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from martloom.llm.common import staging
 from martloom.sources.staging import Staging
 
-FILE_RECORDS = 1000
+FILE_BYTES = 1 << 22
 LEAF_BYTES = 1 << 16
 FANOUT = 8
-# Files without page ids, by content.
-UNNUMBERED_FILES = 4096
+# Copies of one record that a task deals out.
+LOT = 1000
 
 
 def warc_record(page_id: Column, url: Column, html: Column) -> Column:
@@ -41,29 +41,62 @@ def warc_record(page_id: Column, url: Column, html: Column) -> Column:
 
 
 def archive(
-    pages: DataFrame, more: Sequence[Column] = (), file_records: int = FILE_RECORDS
+    pages: DataFrame, more: Sequence[Column] = (), file_bytes: int = FILE_BYTES
 ) -> DataFrame:
     """(file, offset, length, digest, page_id) of all pages as records of WARC files, and `more`
-    columns made of page_id, url and html. A file holds the pages of one range of ids, in order
-    of id. Pages without an id are in files of their own, numbered from -1 down. Repeated rows
-    are records of their own. Bodies are hashed where they are read and never shuffled."""
-    content = F.xxhash64(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit("")))
-    file = F.when(
-        F.col("page_id").isNotNull(), F.floor(F.col("page_id") / file_records).cast("long")
-    ).otherwise(-1 - F.pmod(content, F.lit(UNNUMBERED_FILES)))
+    columns made of page_id, url and html.
+
+    Records stand in order of id, those without an id last, and of digest; files are cut where the
+    next `file_bytes` bytes begin, so a record belongs to the file in which it starts, and a longer
+    record leaves numbers of files out. Repeated rows are records of their own, with equal `more`
+    (the least, if a null and an empty text differ in it). No pages are no files. Bodies are
+    hashed where they are read and never shuffled.
+
+    An id, or a record, may be repeated in much of the table: equal records are counted before
+    they are ordered and dealt out again in lots, and the order is one of ranges of (id,
+    digest), whose sizes, one row for each, are summed up first.
+    """
+    store = staging(pages.sparkSession)
     record = warc_record(F.col("page_id"), F.col("url"), F.col("html"))
     measured = pages.select(
-        "page_id", file.alias("file"), content.alias("content"),
-        F.octet_length(record).cast("long").alias("length"), F.sha2(record, 256).alias("digest"),
-        *more,
+        "page_id", F.octet_length(record).cast("long").alias("length"),
+        F.sha2(record, 256).alias("digest"), F.struct(F.lit(0), *more).alias("more"),
     )
-    before = (
-        Window.partitionBy("file")
-        .orderBy("page_id", "content")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    counted = measured.groupBy("page_id", "length", "digest").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("more").alias("more")
     )
-    placed = measured.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
-    return placed.drop("content")
+    order = [F.col("page_id").asc_nulls_last(), F.col("digest")]
+    # written, so that the ranges stay what they are
+    parts = store.save(
+        "parts", counted.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    )
+    size = F.col("length") * F.col("copies")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = parts.groupBy("part").agg(F.sum(size).alias("size"))
+    sizes = sizes.select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    within = parts.withColumn("start", F.coalesce(F.sum(size).over(inside), F.lit(0)))
+    placed = within.join(F.broadcast(sizes), "part").withColumn("start", F.col("start") + F.col("before"))
+    placed = store.save("placed", placed.drop("part", "before"))
+
+    def dealt(rows: DataFrame, first: Column, copies: Column) -> DataFrame:
+        number = F.explode(F.sequence(first, first + copies - 1))
+        each = rows.select("page_id", "length", "digest", "more", "start", number.alias("number"))
+        return each.withColumn("start", F.col("start") + F.col("number") * F.col("length")).drop("number")
+
+    few = placed.filter(F.col("copies") <= LOT)
+    lots = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(LOT).cast("long")))
+    many = placed.filter(F.col("copies") > LOT).select("*", lots.alias("lot")).repartition("digest", "lot")
+    rows = dealt(few, F.lit(0).cast("long"), F.col("copies")).unionByName(
+        dealt(many, F.col("lot"), F.least(F.lit(LOT), F.col("copies") - F.col("lot")))
+    )
+    rows = rows.withColumn("file", F.floor(F.col("start") / file_bytes).cast("long"))
+    offset = F.col("start") - F.min("start").over(Window.partitionBy("file"))
+    names = rows.schema["more"].dataType.names[1:]
+    return rows.select(
+        "file", offset.alias("offset"), "length", "digest", "page_id",
+        *[F.col("more")[name].alias(name) for name in names],
+    )
 
 
 def _parents(nodes: DataFrame, by: list[str], place: str) -> DataFrame:

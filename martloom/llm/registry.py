@@ -264,17 +264,19 @@ ORACLE_SQL: dict[str, str] = {
                    THEN 1 ELSE 0 END) AS BIGINT) AS taken
         FROM summed""",
     "op7_fixity_audit": """
-        WITH made AS (
-            SELECT page_id, CAST(floor(page_id / 1000) AS BIGINT) AS file, html,
-                   (strlen(html) + page_id) % 97 AS rule,
-                   strlen('WARC/1.0' || 'WARC-Type: response' || 'WARC-Record-ID: <urn:page:'
-                          || page_id || '>' || 'WARC-Target-URI: ' || url || 'Content-Length: '
-                          || strlen(html) || html) + 16 AS length
+        WITH written AS (
+            SELECT page_id, html, (strlen(html) + page_id) % 97 AS rule,
+                   concat_ws(chr(13) || chr(10), 'WARC/1.0', 'WARC-Type: response',
+                             'WARC-Record-ID: <urn:page:' || page_id || '>', 'WARC-Target-URI: ' || url,
+                             'Content-Length: ' || strlen(html), '', html, '', '') AS record
             FROM pages),
-        placed AS (
-            SELECT *, coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id
-                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
-            FROM made)
+        made AS (SELECT *, strlen(record) AS length, sha256(record) AS digest FROM written),
+        started AS (
+            SELECT *, coalesce(sum(length) OVER (ORDER BY page_id, digest
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+            FROM made),
+        filed AS (SELECT *, CAST(start // 4194304 AS BIGINT) AS file FROM started),
+        placed AS (SELECT *, start - min(start) OVER (PARTITION BY file) AS place FROM filed)
         SELECT page_id, file, CAST(place AS BIGINT) AS "offset", CAST(length AS BIGINT) AS length,
                CASE rule WHEN 1 THEN 'missing' WHEN 3 THEN 'extra' ELSE 'changed' END AS kind
         FROM placed

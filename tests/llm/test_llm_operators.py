@@ -549,18 +549,54 @@ def test_audit_finds_every_difference(spark):
     assert [r["kind"] for r in fixity.audit(one, a.filter("false")).collect()] == ["missing"]
 
 
+PAGES = "page_id bigint, url string, html string, file int, start string, more int, part int"
+
+
+def slow_archive(rows, file_bytes):
+    """[(file, offset, length, digest, page_id)], one record after the other."""
+    records = []
+    for page_id, url, html in rows:
+        body = (html or "").encode()
+        head = ["WARC/1.0", "WARC-Type: response", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
+                f"WARC-Target-URI: {url or ''}", f"Content-Length: {len(body)}", "", ""]
+        record = "\r\n".join(head).encode() + body + b"\r\n\r\n"
+        records.append((page_id is None, page_id or 0, hashlib.sha256(record).hexdigest(), len(record)))
+    at, first, out = 0, {}, []
+    for nameless, page_id, digest, length in sorted(records):
+        file = at // file_bytes
+        out.append((file, at - first.setdefault(file, at), length, digest, None if nameless else page_id))
+        at += length
+    return out
+
+
+def made_archive(spark, rows, **how):
+    pages = spark.createDataFrame([(*r, 7, "s", 8, 9) for r in rows], PAGES)
+    made = fixity.archive(pages, [F.length("html").alias("size")], **how)
+    assert made.columns == ["file", "offset", "length", "digest", "page_id", "size"]
+    return made
+
+
 def test_archive_of_edge_pages(spark):
-    rows = [(1, "u", "<p>"), (1, "u", "<p>"), (2, None, None), (None, "u", "é"), (2500, "u", "")]
-    pages = spark.createDataFrame([(*r, 7) for r in rows], "page_id bigint, url string, html string, file int")
-    made = fixity.archive(pages).collect()
-    assert len(made) == 5
-    for file in {r["file"] for r in made}:
-        at = 0
-        for r in sorted((r for r in made if r["file"] == file), key=lambda r: r["offset"]):
-            assert r["offset"] == at
-            at += r["length"]
-    assert {r["file"] for r in made if r["page_id"] == 2500} == {2}
-    assert all(r["file"] < 0 for r in made if r["page_id"] is None)
+    rows = [(1, "u", "<p>"), (1, "u", "<p>"), (2, None, None), (2, "", ""), (None, "u", "é"), (2500, "u", "")]
+    rows += [(None, None, None), (-4, "u", "x" * 300_000), (3, "u", "y")]
+    for file_bytes in (300, 1 << 12, fixity.FILE_BYTES):
+        made = made_archive(spark, rows, file_bytes=file_bytes).drop("size").collect()
+        assert sorted(map(repr, map(tuple, made))) == sorted(map(repr, slow_archive(rows, file_bytes)))
+    nothing = made_archive(spark, [])
+    assert nothing.count() == 0
+    assert fixity.audit(nothing, nothing).count() == 0
+
+
+def test_a_hot_page_id_and_a_hot_record_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(fixity, "LOT", 100)
+    rows = [(7, "u", f"body {i}") for i in range(2000)] + [(8, "u", "copy")] * 2050
+    rows += [(i, "u", f"other {i}") for i in range(2000)]
+    made = made_archive(spark, rows, file_bytes=1 << 14)
+    got = made.drop("size").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, slow_archive(rows, 1 << 14)))
+    for page_id in (7, 8):
+        assert len({r["file"] for r in got if r["page_id"] == page_id}) > 10
+    assert max(sum(r["length"] for r in got if r["file"] == f) for f in {r["file"] for r in got}) < 1 << 15
 
 
 def test_url_lists(spark):
