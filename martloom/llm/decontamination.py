@@ -21,6 +21,8 @@ from martloom.llm.common import LOWER, UPPER, as_rows, same_document, staging, t
 from martloom.sources.staging import Staging
 
 WINDOW = 10
+# Words of a document in which a proximity match lies.
+STRETCH = 20
 BUCKETS = 1 << 20
 # Fixed value: what separates words, before and after A-Z is lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -171,40 +173,89 @@ def phrase_matches(store: Staging, index: DataFrame, items: Items) -> DataFrame:
     return out.distinct().unionByName(long.select(*match, "size"))
 
 
-def proximity_matches(store: Staging, index: DataFrame, items: Items, within: int) -> DataFrame:
-    """(doc_id, text_key, window_id, position): places of a window's rarest word with all its
-    other words, in any order, `within` words around it."""
-    ranked = store.save("ranked", _ranked(index, items.windows))
-    distinct = ranked.groupBy("window_id", "term_id").agg(F.min("rank").alias("rank"))
-    wanted = distinct.groupBy("window_id").agg(F.count(F.lit(1)).alias("terms"))
-    rare = index.join(distinct.filter(F.col("rank") == 1), "term_id").join(wanted, "window_id")
-    centre = rare.select("doc_id", "text_key", "window_id", "terms", F.col("position").alias("centre")).distinct()
-    block = F.floor(F.col("centre") / within)
-    near = centre.select("*", F.explode(F.array(block - 1, block, block + 1)).alias("block"))
-    near = near.join(distinct.select("window_id", "term_id"), "window_id")
-    lists = index.select(
-        F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), "position",
-        F.col("term_id").alias("_term_id"), F.floor(F.col("position") / within).alias("_block"),
-    )
-    met = near.join(
+def _same_document() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key"))
+
+
+def proximity_matches(
+    store: Staging, index: DataFrame, items: Items, stretch: int = STRETCH
+) -> DataFrame:
+    """(doc_id, text_key, window_id): windows whose different words all stand, in any order, in
+    some `stretch` successive words of the document.
+
+    Places of a window's rarest word are kept where the second rarest is less than a stretch
+    away; the words of the window around those that are left, at most two stretches of them,
+    then tell. Places meet by blocks of a stretch, so a frequent word is not held against all others
+    of its document.
+    """
+    terms = items.windows.groupBy("window_id", "term_id").agg(F.min("offset").alias("offset"))
+    each = F.count(F.lit(1)).over(Window.partitionBy("window_id"))
+    ranked = store.save("near_ranked", _ranked(index, terms.withColumn("size", each)))
+    of_others = [F.col(c).alias(f"_{c}") for c in (*_DOC, "position")]
+
+    def block(place: str) -> Column:
+        return F.floor(F.col(place) / stretch)
+
+    def around(place: str) -> Column:
+        return F.explode(F.array(block(place) - 1, block(place), block(place) + 1))
+
+    def places(rank: int) -> DataFrame:
+        return index.join(ranked.filter(F.col("rank") == rank), "term_id")
+
+    close = F.abs(F.col("_position") - F.col("centre")) < stretch
+    first = places(1).select(*_DOC, "window_id", "size", F.col("position").alias("centre"))
+    second = places(2).select(
+        *of_others, F.col("window_id").alias("_window_id"), block("position").alias("_block")
+    )
+    both = first.filter(F.col("size") > 1).withColumn("block", around("centre")).join(
+        second,
+        _same_document()
+        & (F.col("window_id") == F.col("_window_id"))
+        & (F.col("block") == F.col("_block"))
+        & close,
+        "left_semi",
+    )
+    centres = store.save("centres", both.drop("block").distinct())
+    buckets = centres.select(_bucket().alias("bucket")).distinct()
+    lists = (
+        index.withColumn("bucket", _bucket())
+        .join(F.broadcast(buckets), "bucket", "left_semi")
+        .select(*of_others, F.col("term_id").alias("_term_id"), block("position").alias("_block"))
+    )
+    hoped = centres.withColumn("block", around("centre")).join(
+        ranked.select("window_id", "term_id"), "window_id"
+    )
+    met = hoped.join(
         lists,
-        F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-        & (F.col("text_key") == F.col("_text_key"))
+        _same_document()
         & (F.col("block") == F.col("_block"))
-        & (F.col("term_id") == F.col("_term_id")),
-    ).filter(F.abs(F.col("position") - F.col("centre")) <= within)
-    place = ["doc_id", "text_key", "window_id", "centre", "terms"]
-    counted = met.select(*place, "term_id").distinct().groupBy(place).agg(F.count(F.lit(1)).alias("met"))
-    return counted.filter(F.col("met") == F.col("terms")).select(
-        "doc_id", "text_key", "window_id", F.col("centre").alias("position")
+        & (F.col("term_id") == F.col("_term_id"))
+        & close,
     )
+    seen = met.groupBy(*_DOC, "window_id", "size", "centre").agg(
+        F.collect_set(F.struct("_position", "_term_id")).alias("words")
+    )
+
+    def all_from(start: Column) -> Column:
+        here = F.filter(
+            "words", lambda w: (w["_position"] >= start) & (w["_position"] < start + stretch)
+        )
+        return F.size(F.array_distinct(F.transform(here, lambda w: w["_term_id"]))) == F.col("size")
+
+    starts = F.sequence(F.col("centre") - stretch + 1, F.col("centre"))
+    near = seen.filter(F.size("words") >= F.col("size")).filter(F.exists(starts, all_from))
+    alone = first.filter(F.col("size") == 1)
+    match = [*_DOC, "window_id"]
+    return near.select(match).unionByName(alone.select(match)).distinct()
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(doc_id, text_key, n_words, n_hit, item_ids) of every document; item_ids are sorted as
-    strings, and empty for a clean document.
+    """(doc_id, text_key, n_words, n_hit, n_near, item_ids) of every document; item_ids are sorted
+    as strings, and empty for a clean document.
 
-    A word inside any occurrence of a window is hit. Null texts have no words. An item without
+    A word inside any occurrence of a window is hit. n_near counts the items of which a window has
+    all its different words, in any order, in STRETCH successive words of the document: whatever
+    was reordered or has words put in, and all items that occur. Null texts have no words. An item without
     an id marks words but is not listed. Rows of equal id and text are reported once.
     """
     store = staging(documents.sparkSession)
@@ -218,23 +269,21 @@ def contamination(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW
     end = F.col("start") + F.col("size")
     reached = F.coalesce(F.max(end).over(earlier), F.lit(0))
     hit = spans.select(*_DOC, F.greatest(end - F.greatest("start", reached), F.lit(0)).alias("new"))
-    hit = hit.groupBy(*_DOC).agg(F.sum("new").alias("n_hit"), F.lit(None).cast("array<string>").alias("ids"))
+    hit = hit.groupBy(*_DOC).agg(F.sum("new").cast("long").alias("n_hit"))
+    near = proximity_matches(store, index, items).join(items.members, "window_id")
+    near = near.groupBy(*_DOC).agg(F.count_distinct("item_id").alias("n_near"))
     found = matches.select(*_DOC, "window_id").distinct().join(items.members, "window_id")
     listed = found.select(*_DOC, F.col("item_id").cast("string").alias("item")).distinct()
-    listed = listed.groupBy(*_DOC).agg(
-        F.lit(0).cast("long").alias("n_hit"), F.array_sort(F.collect_list("item")).alias("ids")
-    )
-    lengths = index.filter(F.col("term_id") == -1).select(
-        *_DOC, F.col("position").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
-        F.lit(None).cast("array<string>").alias("ids"),
-    )
-    none = F.lit(None).cast("long").alias("n_words")
-    every = lengths.unionByName(hit.select(*_DOC, none, "n_hit", "ids")).unionByName(
-        listed.select(*_DOC, none, "n_hit", "ids")
+    listed = listed.groupBy(*_DOC).agg(F.array_sort(F.collect_list("item")).alias("ids"))
+    every = index.filter(F.col("term_id") == -1).select(
+        *_DOC, F.col("position").cast("long").alias("n_words")
     )
+    for part in (hit, near, listed):
+        every = every.unionByName(part, allowMissingColumns=True)
     return every.groupBy(*_DOC).agg(
         F.max("n_words").alias("n_words"),
-        F.sum("n_hit").alias("n_hit"),
+        F.coalesce(F.sum("n_hit"), F.lit(0)).alias("n_hit"),
+        F.coalesce(F.sum("n_near"), F.lit(0)).alias("n_near"),
         F.coalesce(F.max("ids"), F.array().cast("array<string>")).alias("item_ids"),
     )
 

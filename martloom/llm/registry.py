@@ -152,6 +152,7 @@ def op2_decontamination_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        "n_near",
     )
 
 
@@ -215,13 +216,34 @@ ORACLE_SQL: dict[str, str] = {
         items AS (SELECT doc_id, count(*) AS n_items,
                          string_agg(item, ',' ORDER BY item) AS listed
                   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found)
-                  GROUP BY doc_id)
+                  GROUP BY doc_id),
+        postings AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS c FROM doc_words),
+        counts AS (SELECT word, count(*) AS n FROM postings GROUP BY word),
+        asked AS (
+            SELECT string_split(phrase, ' ') AS terms, list_distinct(list(item_id)) AS item_ids
+            FROM windows GROUP BY phrase),
+        rarest AS (
+            SELECT terms, any_value(item_ids) AS item_ids, arg_min(word, n) AS word
+            FROM (SELECT terms, item_ids, unnest(terms) AS word FROM asked) JOIN counts USING (word)
+            GROUP BY terms),
+        around AS (
+            SELECT doc_id, item_ids, terms, w[greatest(c - 18, 1) : c + 20] AS here
+            FROM rarest JOIN postings USING (word) JOIN doc_words USING (doc_id)
+            WHERE list_has_all(w[greatest(c - 18, 1) : c + 20], terms)),
+        close AS (
+            SELECT doc_id, item_ids FROM around
+            WHERE len(list_filter(range(len(here)),
+                                  lambda s: list_has_all(here[s + 1 : s + 20], terms))) > 0),
+        near AS (SELECT doc_id, count(DISTINCT item_id) AS n_near
+                 FROM (SELECT doc_id, unnest(item_ids) AS item_id FROM close) GROUP BY doc_id)
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
                CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
                CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
                sha256(coalesce(listed, '')) AS items_sha256,
-               coalesce(n_hit, 0) > 0 AS contaminated
-        FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+               coalesce(n_hit, 0) > 0 AS contaminated,
+               CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+        FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+             LEFT JOIN near USING (doc_id)""",
     "op12_mix_weights": r"""
         WITH RECURSIVE measured AS (
             SELECT doc_id, source, text,

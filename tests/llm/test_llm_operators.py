@@ -211,6 +211,27 @@ def test_learned_list_separates_and_keeps_columns(spark, edges, nothing):
 # decontamination
 
 
+def slow_near(docs, items, size=10):
+    """{doc_id: number of items with a window whose words all stand in 20 words of the document}"""
+    cut = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+    def low(text):
+        return cut.findall(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+
+    asked = defaultdict(set)
+    for item, t in items:
+        q = low(t)
+        for k in range(max(len(q) - size + 1, 1) if q else 0):
+            asked[frozenset(q[k : k + size])].add(item)
+    out = {}
+    for i, text in docs:
+        w = low(text)
+        stretches = {frozenset(w[k : k + 20]) for k in range(max(len(w) - 19, 1))}
+        met = [ids for q, ids in asked.items() if any(q <= s for s in stretches)]
+        out[i] = len(set().union(*met) - {None})
+    return out
+
+
 def slow_contamination(docs, items, size=10):
     cut = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -242,6 +263,7 @@ def test_contamination(spark, nothing):
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     found = decontamination.contamination(documents, benchmark).collect()
     assert {r["doc_id"]: (r["n_words"], r["n_hit"], list(r["item_ids"])) for r in found} == slow_contamination(docs, items)
+    assert {r["doc_id"]: r["n_near"] for r in found} == slow_near(docs, items)
     clean = decontamination.without_contaminated(documents, benchmark)
     assert clean.columns == documents.columns
     want = {i for i, v in slow_contamination(docs, items).items() if not v[1]}
@@ -271,6 +293,26 @@ def test_proximity(spark):
     assert decontamination.phrase_matches(store, index, items).count() == 0
 
 
+def test_proximity_at_its_limits(spark, nothing):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(30)]
+    items = [(i, " ".join(rng.sample(vocabulary, rng.randrange(3, 13)))) for i in range(12)]
+    items += [(50, "w1 w2 w1 w1"), (51, "solo"), (52, "solo solo"), (53, "absent w1")]
+    docs = [(100, "a " * 5 + "w1 " + "a " * 18 + "w2"), (101, "w1 " + "a " * 19 + "w2"), (102, "x " * 45 + "solo")]
+    docs += [(103, "w2 " + "a " * 10 + "w1 " + "a " * 10 + "w2 " * 2)]
+    for i in range(60):
+        wanted = rng.choice(items)[1].split()
+        rng.shuffle(wanted)
+        made = [w for word in wanted for w in [word] + ["a"] * rng.choice((0, 0, 0, 1, 2, 3))]
+        docs.append((i, " ".join(["b"] * rng.randrange(40) + made + rng.choices(vocabulary, k=rng.randrange(9)))))
+    docs += [(104, None), (105, "w1 w2 " * 3000)]
+    documents = clashing(spark, docs + docs[:3])
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {r["doc_id"]: r["n_near"] for r in decontamination.contamination(documents, benchmark).collect()}
+    assert found == slow_near(docs, items)
+    assert found[100] == 1 and found[101] == 0 and len(set(found.values())) > 2
+
+
 # line dedup
 
 
