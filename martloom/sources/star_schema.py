@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom.schemas import DATE_COLUMNS, ORDER_LINE_COLUMNS
@@ -131,13 +135,26 @@ def land_csv(lines: DataFrame, folder: str) -> None:
 
 def land_fields(fields: DataFrame, folder: str, files: int = 8) -> None:
     """Write text columns as delimited files just as they are: quotes, where a field has any,
-    are the caller's. Each file starts with the header."""
+    are the caller's. Each file starts with the header.
+
+    Lines go to `files` folders by order; each task writes its own file in a folder and
+    heads it, so no task gathers a folder's lines from the others."""
     key = F.pmod(F.xxhash64("order_id"), F.lit(files)).cast("int")
     line = F.concat_ws(",", *[F.col(name) for name in ORDER_LINE_NAMES])
-    header = F.lit(",".join(header for header, _, _ in ORDER_LINE_COLUMNS))
-    heads = fields.sparkSession.range(files).select(
-        F.col("id").cast("int").alias("file"), F.lit(0).alias("place"), header.alias("line")
-    )
+    header = ",".join(header for header, _, _ in ORDER_LINE_COLUMNS)
     rows = fields.select(key.alias("file"), F.lit(1).alias("place"), line.alias("line"))
-    rows = heads.unionByName(rows).repartition(files, "file").sortWithinPartitions("file", "place")
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The lines of a task, and a header for each folder it writes to."""
+        seen: set[int] = set()
+        for batch in batches:
+            new = sorted(set(pc.unique(batch.column("file")).to_pylist()) - seen)
+            if new:
+                seen.update(new)
+                heads = {"file": new, "place": [0] * len(new), "line": [header] * len(new)}
+                yield pa.RecordBatch.from_pydict(heads, batch.schema)
+            yield batch
+
+    rows = rows.mapInArrow(headed, "file int, place int, line string")
+    rows = rows.sortWithinPartitions("file", "place")
     rows.select("file", "line").write.partitionBy("file").text(folder)
