@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from martloom.schemas import ORDER_LINE_COLUMNS
 from martloom.sources.order_lines_csv import read_raw_csv
-from martloom.sources.star_schema import ORDER_LINE_NAMES, land_fields
+from martloom.sources.star_schema import LANDED_GZIP, ORDER_LINE_NAMES, land_csv, land_fields
 
 HEADER = ",".join(header for header, _, _ in ORDER_LINE_COLUMNS)
 
@@ -27,3 +27,20 @@ def test_each_task_writes_and_heads_its_own_files(spark, tmp_path):
     assert len(written) > 2
     back = read_raw_csv(spark, str(tmp_path / "landing"))
     assert sorted(r["order_id"] for r in back.collect()) == sorted(f"order_id-{i}" for i in range(400))
+
+
+def test_a_gzip_landing_reads_back_whole(spark, tmp_path):
+    """The refreshes land gzip files: each is one task's lines, and all come back as they were."""
+    lines = (
+        spark.range(300)
+        .repartition(3)
+        .select(*[F.concat(F.lit(f"{name}, \"x\" "), F.col("id").cast("string")).alias(name) for name in ORDER_LINE_NAMES])
+    )
+    lines = lines.withColumn("order_date", F.to_date(F.lit("2020-03-04"))).withColumn(
+        "ship_date", F.to_date(F.lit("2020-03-05"))
+    )
+    land_csv(lines, str(tmp_path / "landing"), "gzip")
+    written = [p.name for p in (tmp_path / "landing").glob("part-*")]
+    assert written and all(name.endswith(".csv.gz") for name in written)
+    back = read_raw_csv(spark, str(tmp_path / "landing"), LANDED_GZIP)
+    assert sorted(r["order_id"] for r in back.collect()) == sorted(f'order_id, "x" {i}' for i in range(300))
