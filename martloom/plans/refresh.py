@@ -17,7 +17,7 @@ from martloom.plans.marts import (
 from martloom.plans.raw import core_raw, raw_dates, raw_typed
 from martloom.schemas import PRIMARY_KEYS
 from martloom.sources.order_lines_csv import read_raw_csv
-from martloom.sources.staging import Staging
+from martloom.sources.staging import Staging, shuffles_freed
 from martloom.sources.tables import Warehouse
 
 
@@ -78,8 +78,8 @@ def refresh(
     config = warehouse.config
     warehouse.discard()
     warehouse.recover()
-    tables = load_core(warehouse, load_raw(warehouse, path, pattern), verify, allow_fan_out)
-    with Staging(warehouse.spark) as staging:
+    with shuffles_freed(warehouse.spark), Staging(warehouse.spark) as staging:
+        tables = load_core(warehouse, load_raw(warehouse, path, pattern), verify, allow_fan_out)
         grain = staging.save("sales_grain", sales_grain(tables), by="year")
         warehouse.stage("mart_sales_by_year", mart_sales_by_year(tables, grain))
         if category is None:

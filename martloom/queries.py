@@ -7,7 +7,7 @@ variant, as users of a warehouse do. `build_core` and `fact_sales_build` build a
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 from threading import Lock
 
@@ -39,8 +39,16 @@ from martloom.plans.refresh import publish_mart, refresh
 from martloom.schemas import BUCKETED, FOREIGN_KEYS, TABLES
 from martloom.sources.buckets import Buckets
 from martloom.sources.order_lines_csv import read_raw_csv
-from martloom.sources.staging import Staging, write_marker
-from martloom.sources.star_schema import LANDED_GZIP, as_text, land_csv, land_fields, order_lines
+from martloom.sources.staging import Staging, delete_files, shuffles_freed, write_marker
+from martloom.sources.star_schema import (
+    LANDED_GZIP,
+    as_text,
+    joined_lines,
+    land_csv,
+    land_fields,
+    made_lines,
+    order_lines,
+)
 from martloom.sources.tables import Warehouse
 from martloom.streaming.arrival import refresh_on_arrival
 
@@ -114,7 +122,7 @@ def _without_row_id(df: DataFrame) -> DataFrame:
 def q_read_raw_csv(spark: SparkSession, folder: str) -> DataFrame:
     """Lines written as delimited files and read back as text."""
     landing = f"{Staging(spark).root}/csv"
-    land_csv(order_lines(spark, folder), landing)
+    land_csv(order_lines(spark, folder, whole=True), landing)
     return _without_row_id(read_raw_csv(spark, landing))
 
 
@@ -205,7 +213,7 @@ def q_refresh_on_arrival(spark: SparkSession, folder: str) -> DataFrame:
     """Files land, the stream reloads every layer from them, the first mart is read."""
     warehouse = _warehouse(spark)
     landing = f"{warehouse.staging.root}/landing"
-    land_csv(order_lines(spark, folder), f"{landing}/day-1", "gzip")
+    land_csv(order_lines(spark, folder, whole=True), f"{landing}/day-1", "gzip")
     write_marker(spark, f"{landing}/day-1/READY")
     refresh_on_arrival(
         spark,

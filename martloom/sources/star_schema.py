@@ -9,6 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom.schemas import DATE_COLUMNS, ORDER_LINE_COLUMNS
+from martloom.sources.staging import shuffles_freed
 
 # How each order-line column is made. The text is valid in Spark SQL and in other ANSI
 # engines, so an independent check can start from the same lines. `copy_no` is 0, or
@@ -80,27 +81,50 @@ VARIANTS: dict[str, tuple[dict[str, str], int]] = {
 
 ORDER_LINE_NAMES = tuple(name for _, name, _ in ORDER_LINE_COLUMNS)
 
+# Columns of the tables that order lines are made of, in any variant.
+_JOINED = (
+    "o_orderkey", "o_orderdate", "o_orderpriority", "c_custkey", "c_name", "c_mktsegment", "c_nationkey",
+    "n_name", "r_name", "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice",
+    "l_quantity", "l_discount", "l_tax", "l_shipdate",
+)
 
-def order_lines(spark: SparkSession, folder: str, variant: str = "plain") -> DataFrame:
-    """All order lines with typed columns and dates.
+
+def joined_lines(spark: SparkSession, folder: str, whole: bool = False) -> DataFrame:
+    """Line items with the columns of their order, customer and part.
 
     Customers meet orders before line items do, so a filter on a customer column thins
     out both. Orders grow with the data, so the two large tables are merged at any size.
-    The row id is taken at the scan: it depends on the files alone.
+    `whole` says that every line will be used: then line items meet parts first, and are shuffled
+    for the second time with the few columns of a part and not with those of an order, which is
+    moved once for all of its lines. Lines of an order stand together afterwards, and compress
+    better where they are written.
+    The line number is taken at the scan: it depends on the files alone.
     """
-    overrides, copies = VARIANTS[variant]
-    made = {**PLAIN, **overrides}
 
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
     places = table("nation").join(table("region"), F.expr("n_regionkey = r_regionkey"))
     buyers = table("customer").join(places, F.expr("c_nationkey = n_nationkey"))
-    orders = table("orders").join(buyers, F.expr("o_custkey = c_custkey"))
-    items = table("lineitem").withColumn("line_no", F.monotonically_increasing_id())
-    wide = items.join(orders.hint("merge"), F.expr("l_orderkey = o_orderkey")).join(
-        table("part"), F.expr("l_partkey = p_partkey")
+    # days are smaller than moments when they are shuffled
+    dated = table("orders").withColumn("o_orderdate", F.expr("CAST(o_orderdate AS DATE)"))
+    orders = dated.join(buyers, F.expr("o_custkey = c_custkey"))
+    items = table("lineitem").withColumns(
+        {"line_no": F.monotonically_increasing_id(), "l_shipdate": F.expr("CAST(l_shipdate AS DATE)")}
     )
+    in_order, of_part = F.expr("l_orderkey = o_orderkey"), F.expr("l_partkey = p_partkey")
+    if whole:
+        wide = items.join(table("part"), of_part).join(orders.hint("merge"), in_order)
+    else:
+        wide = items.join(orders.hint("merge"), in_order).join(table("part"), of_part)
+    return wide.select("line_no", *_JOINED)
+
+
+def made_lines(joined: DataFrame, variant: str = "plain") -> DataFrame:
+    """Order lines out of joined ones, with typed columns and dates."""
+    overrides, copies = VARIANTS[variant]
+    made = {**PLAIN, **overrides}
+    wide = joined
     if copies > 1:
         wide = wide.withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     else:
@@ -111,6 +135,13 @@ def order_lines(spark: SparkSession, folder: str, variant: str = "plain") -> Dat
     )
 
 
+def order_lines(
+    spark: SparkSession, folder: str, variant: str = "plain", whole: bool = False
+) -> DataFrame:
+    """All order lines with typed columns and dates. `whole`: see `joined_lines`."""
+    return made_lines(joined_lines(spark, folder, whole), variant)
+
+
 def as_text(lines: DataFrame) -> DataFrame:
     """The lines as a file holds them: text in every column, dates as month/day/year."""
     return lines.select(
@@ -124,8 +155,10 @@ def as_text(lines: DataFrame) -> DataFrame:
     )
 
 
-# Files of a gzip landing: the reader decompresses them by their name, one task a file.
+# Files of a gzip landing: the reader decompresses them by their name, one task a file, so a file
+# ends after so many lines.
 LANDED_GZIP = "*.csv.gz"
+GZIP_LINES = 500_000
 
 
 def land_csv(lines: DataFrame, folder: str, compression: str | None = None) -> None:
@@ -137,13 +170,16 @@ def land_csv(lines: DataFrame, folder: str, compression: str | None = None) -> N
     )
     writer = headed.write.option("header", True).option("quote", '"').option("escape", '"')
     if compression:
-        writer = writer.option("compression", compression)
-    writer.csv(folder)
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", GZIP_LINES)
+    with shuffles_freed(lines.sparkSession):
+        writer.csv(folder)
 
 
-def land_fields(fields: DataFrame, folder: str, files: int = 8) -> None:
+def land_fields(
+    fields: DataFrame, folder: str, files: int = 8, compression: str | None = None
+) -> None:
     """Write text columns as delimited files just as they are: quotes, where a field has any,
-    are the caller's. Each file starts with the header.
+    are the caller's. Each file starts with the header, and is compressed with `compression` if given.
 
     Lines go to `files` folders by order; each task writes its own file in a folder and
     heads it, so no task gathers a folder's lines from the others."""
@@ -165,4 +201,8 @@ def land_fields(fields: DataFrame, folder: str, files: int = 8) -> None:
 
     rows = rows.mapInArrow(headed, "file int, place int, line string")
     rows = rows.sortWithinPartitions("file", "place")
-    rows.select("file", "line").write.partitionBy("file").text(folder)
+    writer = rows.select("file", "line").write.partitionBy("file")
+    if compression:
+        writer = writer.option("compression", compression)
+    with shuffles_freed(fields.sparkSession):
+        writer.text(folder)

@@ -23,7 +23,7 @@ from martloom.schemas import (
 )
 from martloom.sources.buckets import Buckets, write_bucketed
 from martloom.sources.loads import Load, LoadLog, Move
-from martloom.sources.staging import Staging, hadoop_path
+from martloom.sources.staging import COMPRESSION, Staging, hadoop_path
 
 SLOTS = ("a", "b")
 # Property of a table that names the load that it shows.
@@ -116,9 +116,9 @@ class Warehouse:
         buckets = self.buckets_of(table)
         if buckets:
             self._require_buckets(table, buckets)
-            written = write_bucketed(rows, self._entry_of(table, path), path, buckets)
+            written = write_bucketed(rows, self._entry_of(table, path), path, buckets, COMPRESSION)
         else:
-            rows.write.mode("overwrite").parquet(path)
+            rows.write.mode("overwrite").parquet(path, compression=COMPRESSION)
             schema = struct_of(table, self.config.key_type)
             written = self.spark.read.schema(schema).parquet(path)
         if check_key:
