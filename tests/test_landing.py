@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from martloom import queries
 from martloom.schemas import ORDER_LINE_COLUMNS
 from martloom.sources import star_schema
 from martloom.sources.order_lines_csv import read_raw_csv
@@ -110,6 +111,20 @@ def test_whole_lines_are_not_shuffled_with_their_orders_columns(spark, star):
     assert "l_orderkey" in joins[0] and any("l_partkey" in join for join in joins[1:])
 
 
+def test_landings_join_the_tables_once_and_leave_no_files_of_an_earlier_day(spark, star, tmp_path, monkeypatch):
+    joins = []
+    monkeypatch.setattr(
+        queries, "joined_lines", lambda *a, **k: joins.append(a) or star_schema.joined_lines(*a, **k)
+    )
+    found, root = [], tmp_path / "landing"
+    for day in queries._landings(spark, star, str(root), "repeated", "plain"):
+        (Path(day) / "READY").write_text("complete")
+        found.append(read_raw_csv(spark, day, LANDED_GZIP).count())
+    assert found == [46, 23] and len(joins) == 1
+    assert [p.name for p in (root / "day-1").glob("[!._]*")] == ["READY"]
+    assert list((root / "day-2").glob(LANDED_GZIP))
+
+
 def test_shuffle_files_go_with_the_query_that_wrote_them(spark, tmp_path):
     """They stayed until the driver collected its garbage."""
     from martloom.sources.staging import shuffles_freed
