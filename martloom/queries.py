@@ -250,9 +250,8 @@ def q_refresh_on_arrival_twice(spark: SparkSession, folder: str) -> DataFrame:
     """A second landing replaces the first: other lines land, are loaded, then the real ones."""
     warehouse = _warehouse(spark)
     root = warehouse.staging.root
-    for day, variant in (("day-1", "shared_all"), ("day-2", "plain")):
-        land_csv(order_lines(spark, folder, variant), f"{root}/landing/{day}", "gzip")
-        write_marker(spark, f"{root}/landing/{day}/READY")
+    for day in _landings(spark, folder, f"{root}/landing", "shared_all", "plain"):
+        write_marker(spark, f"{day}/READY")
         loaded = refresh_on_arrival(
             spark,
             f"{root}/landing",
