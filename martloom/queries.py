@@ -129,9 +129,9 @@ def q_read_raw_csv(spark: SparkSession, folder: str) -> DataFrame:
 def q_read_raw_csv_breaks(spark: SparkSession, folder: str) -> DataFrame:
     """Names with line breaks, quotes and commas, written and read back."""
     landing = f"{Staging(spark).root}/csv"
-    lines = order_lines(spark, folder)
+    lines = order_lines(spark, folder, whole=True)
     broken = F.concat("product_name", F.lit('\n"'), F.col("quantity").cast("string"), F.lit('",\n\nend'))
-    land_csv(lines.withColumn("product_name", broken), landing)
+    land_csv(lines.withColumn("product_name", broken), landing, "gzip")
     return _without_row_id(read_raw_csv(spark, landing))
 
 
