@@ -138,14 +138,14 @@ def q_read_raw_csv_breaks(spark: SparkSession, folder: str) -> DataFrame:
 def q_read_raw_csv_stray_quotes(spark: SparkSession, folder: str) -> DataFrame:
     """Quotes inside plain fields, beside quoted fields with line breaks and doubled quotes."""
     landing = f"{Staging(spark).root}/csv"
-    fields = as_text(order_lines(spark, folder)).withColumns(
+    fields = as_text(order_lines(spark, folder, whole=True)).withColumns(
         {
             "city": F.concat(F.lit('3" '), "city"),
             "state": F.concat("state", F.lit('"')),
             "product_name": F.concat(F.lit('"'), "product_name", F.lit('\n""x"", y"')),
         }
     )
-    land_fields(fields, landing)
+    land_fields(fields, landing, compression="gzip")
     return _without_row_id(read_raw_csv(spark, landing))
 
 

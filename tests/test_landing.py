@@ -58,6 +58,18 @@ def _table_lines(spark, count=300):
     return lines.withColumns({"order_date": day, "ship_date": day})
 
 
+def test_gzip_fields_read_back_whole(spark, tmp_path):
+    """Quotes and line breaks of the caller come through a compressed landing as they were."""
+    fields = _table_lines(spark).withColumn("order_date", F.lit("3/4/2020")).withColumn("ship_date", F.lit("3/5/2020"))
+    fields = fields.withColumn("product_name", F.concat(F.lit('"'), "product_name", F.lit('\n""x"", y"')))
+    land_fields(fields, str(tmp_path / "landing"), files=2, compression="gzip")
+    written = [p for p in (tmp_path / "landing").rglob("part-*")]
+    assert written and all(p.name.endswith(".gz") for p in written)
+    back = read_raw_csv(spark, str(tmp_path / "landing"))
+    names = sorted(r["product_name"] for r in back.select("product_name").collect())
+    assert names == sorted(f'product_name {i}\n"x", y' for i in range(300))
+
+
 def test_a_gzip_file_ends_after_so_many_lines(spark, tmp_path, monkeypatch):
     """A compressed file is one task, so it does not grow with the task that writes it."""
     monkeypatch.setattr(star_schema, "GZIP_LINES", 40)
